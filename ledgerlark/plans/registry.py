@@ -1,0 +1,88 @@
+"""Registry of named queries: the Spark implementation and its DuckDB oracle.
+
+``SPARK[name]`` maps a :class:`Warehouse` to a DataFrame; ``ORACLE[name]`` is the
+final SELECT of the independent DuckDB formulation (CTEs are added by
+``oracle.sql.build``).  Output columns with a DECIMAL type are published as
+DOUBLE on both sides of the comparison (``DECIMAL_COLUMNS``), so the two
+engines' result hashes do not depend on how each client renders decimals.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import ledgerlark.oracle.marts_sql  # noqa: F401  (registers mart CTEs)
+from ledgerlark.oracle.sql import build
+from ledgerlark.plans.warehouse import Warehouse
+
+SPARK: dict[str, Callable[[Warehouse], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, oracle: str | None):
+    def deco(fn: Callable[[Warehouse], DataFrame]):
+        SPARK[name] = fn
+        if oracle is not None:
+            ORACLE[name] = oracle
+        return fn
+    return deco
+
+
+def publish(df: DataFrame) -> DataFrame:
+    """Cast DECIMAL output columns to DOUBLE (comparison-friendly publication)."""
+    cols = [
+        F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    return df.select(*cols)
+
+
+def _dataset(name: str, oracle_cte: str) -> None:
+    register(name, f"SELECT * FROM {oracle_cte}")(lambda wh, n=name: getattr(wh, n))
+
+
+# staging (M01-M05; M06 is a rule-generated price sheet, not registered alone)
+_dataset("stg_users", "s_users")
+_dataset("stg_conversations", "s_conversations")
+_dataset("stg_llm_requests", "s_llm_requests")
+_dataset("stg_intent_predictions", "s_intent_predictions")
+_dataset("stg_escalations", "s_escalations")
+# intermediate
+_dataset("int_model_costs", "i_model_costs_view")
+_dataset("int_conversation_request_rollup", "i_rollup")
+_dataset("int_conversation_quality", "i_quality")
+_dataset("int_daily_product_metrics", "i_daily")
+_dataset("int_intent_confusion", "i_confusion")
+# marts (M12-M18, M20, M21)
+_dataset("dim_users", "m_dim_users")
+_dataset("dim_models", "m_dim_models")
+_dataset("dim_intents", "m_dim_intents")
+_dataset("fct_conversations", "m_fct_conversations")
+_dataset("fct_llm_requests", "m_fct_llm_requests")
+_dataset("fct_daily_product_metrics", "m_fct_daily")
+_dataset("fct_daily_model_costs", "m_fct_daily_model_costs")
+_dataset("mart_intent_quality", "m_intent_quality")
+_dataset("mart_model_reliability_daily", "m_reliability")
+
+
+def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def make(fn):
+        return lambda spark, sf_dir: publish(fn(Warehouse.from_driver_tables(spark, sf_dir)))
+    return {name: make(fn) for name, fn in SPARK.items()}
+
+
+def oracle_queries() -> dict[str, str]:
+    from ledgerlark.oracle.decimal_columns import DECIMAL_COLUMNS
+
+    out = {}
+    for name, final in ORACLE.items():
+        dec = DECIMAL_COLUMNS.get(name, [])
+        if dec:
+            repl = ", ".join(f"cast({c} as double) AS {c}" for c in dec)
+            final = f"SELECT * REPLACE ({repl}) FROM ({final}) q"
+        out[name] = build(final)
+    return out

@@ -1,0 +1,26 @@
+"""Broadcast decisions with a proven size bound.
+
+A side is broadcast only when its row count is bounded by construction (a seed,
+a 1-row aggregate, a rule-generated grid) and that bound fits the budget.
+Otherwise no hint is given and Spark decides from statistics: the static
+``autoBroadcastJoinThreshold`` check at planning time and, with AQE, the
+runtime check on the actual shuffle size - both of which fall back to a
+sort-merge join for large sides.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a broadcast side may hold.  Dimension rows here are < 200 bytes, so the
+# budget stays well below the executors' broadcast memory.
+BROADCAST_ROW_BUDGET = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, bound_rows: int | None = None,
+                       budget: int = BROADCAST_ROW_BUDGET) -> DataFrame:
+    """``F.broadcast(df)`` when ``bound_rows`` (a proven upper bound) fits ``budget``."""
+    if bound_rows is not None and bound_rows <= budget:
+        return F.broadcast(df)
+    return df
