@@ -175,6 +175,17 @@ REQUEST_SIDE = [
     "cost_usd", "logged_cost_usd", "n_cost_mismatches", "n_latency_samples", "latency_ms_sum",
 ]
 PERCENTILES = ["p50_latency_ms", "p95_latency_ms", "p99_latency_ms"]
+PERCENTILE_SCALE = 6
+
+
+def percentile_value(c):
+    """Interpolated percentile published at 6 decimals.
+
+    The exact value of a linear-interpolated percentile of integers is a short
+    decimal (e.g. ``12141.8``); engines differ only in float noise from their
+    interpolation formula, which the rounding removes.
+    """
+    return F.round(c, PERCENTILE_SCALE)
 
 
 def conversation_day_components(conv_facts: DataFrame, date_col: str = "conversation_date") -> DataFrame:
@@ -231,7 +242,7 @@ def request_day_components(priced: DataFrame, date_col: str = "request_date", ex
         F.sum(lat).alias("latency_ms_sum"),
         pcts.alias("_pct"),
     ).select(
-        "*", *[F.col("_pct")[i].alias(name) for i, name in enumerate(PERCENTILES)]
+        "*", *[percentile_value(F.col("_pct")[i]).alias(name) for i, name in enumerate(PERCENTILES)]
     ).drop("_pct")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.exprs import count_where, days_between, full_day_name, ratio, sum_where, week_start
+from ledgerlark.operators.intermediate import percentile_value
 
 DOUBLE_AVG_SCALE = 6
 
@@ -350,6 +351,7 @@ def mart_model_reliability_daily(requests: DataFrame) -> DataFrame:
         "n_error_requests", "n_timeout_requests", "n_rate_limited_requests", "n_provider_5xx",
         "n_content_filter", "n_context_length", "n_invalid_request", "error_rate", "timeout_rate",
         "n_latency_samples", "avg_latency_ms",
-        c("_p")[0].alias("p50_latency_ms"), c("_p")[1].alias("p95_latency_ms"), c("_p")[2].alias("p99_latency_ms"),
-        "p95_success_latency_ms", "avg_completion_tokens", "total_cost_usd", "n_invalid_latency_rows",
+        percentile_value(c("_p")[0]).alias("p50_latency_ms"), percentile_value(c("_p")[1]).alias("p95_latency_ms"),
+        percentile_value(c("_p")[2]).alias("p99_latency_ms"),
+        percentile_value(c("p95_success_latency_ms")).alias("p95_success_latency_ms"), "avg_completion_tokens", "total_cost_usd", "n_invalid_latency_rows",
     )

@@ -67,6 +67,8 @@ _dataset("fct_daily_product_metrics", "m_fct_daily")
 _dataset("fct_daily_model_costs", "m_fct_daily_model_costs")
 _dataset("mart_intent_quality", "m_intent_quality")
 _dataset("mart_model_reliability_daily", "m_reliability")
+_dataset("fct_weekly_cohort_retention", "m_retention")
+_dataset("mart_daily_anomalies", "m_anomalies")
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
