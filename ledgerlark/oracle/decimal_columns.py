@@ -1,6 +1,8 @@
 """Generated by scripts/gen_decimal_columns.py: DECIMAL output columns per query."""
 
-DECIMAL_COLUMNS = {'dim_models': ['current_input_price_per_1k_tokens', 'current_output_price_per_1k_tokens'],
+DECIMAL_COLUMNS = {'check_conversation_cost_ledger': ['conversation_cost', 'request_cost', 'delta_usd'],
+ 'check_daily_cost_reconciliation': ['product_cost', 'ledger_cost', 'delta_usd'],
+ 'dim_models': ['current_input_price_per_1k_tokens', 'current_output_price_per_1k_tokens'],
  'dim_users': ['lifetime_llm_cost_usd'],
  'fct_conversations': ['intent_confidence', 'cost_usd'],
  'fct_daily_model_costs': ['total_cost_usd',
@@ -26,4 +28,5 @@ DECIMAL_COLUMNS = {'dim_models': ['current_input_price_per_1k_tokens', 'current_
  'mart_intent_quality': ['total_cost_usd'],
  'mart_model_reliability_daily': ['total_cost_usd'],
  'stg_intent_predictions': ['confidence'],
- 'stg_llm_requests': ['recorded_cost_usd']}
+ 'stg_llm_requests': ['recorded_cost_usd'],
+ 'warn_unreconciled_costs': ['logged_cost_usd', 'calculated_cost_usd']}

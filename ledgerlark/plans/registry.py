@@ -17,21 +17,45 @@ from pyspark.sql import types as T
 
 import ledgerlark.oracle.marts_sql  # noqa: F401  (registers mart CTEs)
 from ledgerlark.oracle.sql import build
+from ledgerlark.config import WarehouseConfig
 from ledgerlark.plans.warehouse import Warehouse
 
 SPARK: dict[str, Callable[[Warehouse], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+ON_WRITTEN_LAYERS: set[str] = set()
 
+# Fixed load stamp / as-of time of the freshness check on driver-derived feeds.
+FIXED_LOADED_AT = "2024-03-31 06:00:00"
+FIXED_AS_OF = "2024-04-01 00:00:00"
 
-def register(name: str, oracle: str | None):
+
+def register(name: str, oracle: str | None, written_layers: bool = False):
+    """Add a query; ``written_layers`` runs it on the materialised (written) layers."""
     def deco(fn: Callable[[Warehouse], DataFrame]):
         SPARK[name] = fn
         if oracle is not None:
             ORACLE[name] = oracle
+        if written_layers:
+            ON_WRITTEN_LAYERS.add(name)
         return fn
     return deco
 
 
+_MATERIALIZED: dict[tuple[str, str], Warehouse] = {}
+
+
+def materialized_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """One pipeline run per (application, input folder); checks read its written layers."""
+    from ledgerlark.plans.pipeline import materialize
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MATERIALIZED:
+        wh = Warehouse.from_driver_tables(spark, sf_dir)
+        materialize(wh)
+        _MATERIALIZED[key] = wh
+    return _MATERIALIZED[key]
+
+
 def publish(df: DataFrame) -> DataFrame:
     """Cast DECIMAL output columns to DOUBLE (comparison-friendly publication)."""
     cols = [
@@ -71,10 +95,65 @@ _dataset("fct_weekly_cohort_retention", "m_retention")
 _dataset("mart_daily_anomalies", "m_anomalies")
 
 
+# data quality (Q01-Q07 per kind, Q09 suite, Q10-Q19 invariants)
+CHECK_KINDS = {
+    "check_unique": "unique", "check_not_null": "not_null", "check_accepted_values": "accepted_values",
+    "check_relationships": "relationships", "check_accepted_range": "accepted_range",
+    "check_expression_is_true": "expression", "check_unique_combination": "combination",
+}
+
+
+def _register_checks() -> None:
+    from ledgerlark.operators.checks import DECLARED, run_checks
+    from ledgerlark.operators.invariants import SQL_CHECKS
+    from ledgerlark.oracle.checks_sql import SQL_CHECK_CTE, declared_suite_sql, sql_suite_sql
+
+    def kind_checks(wh: Warehouse, kind: str) -> DataFrame:
+        checks = [c for c in DECLARED if c.kind == kind]
+        names = {c.dataset for c in checks} | {c.parent[0] for c in checks if c.parent}
+        return run_checks({n: wh.dataset(n) for n in names}, checks)
+
+    for qname, kind in CHECK_KINDS.items():
+        register(qname, declared_suite_sql(kind), True)(lambda wh, k=kind: kind_checks(wh, k))
+    register("check_suite", f"{declared_suite_sql()}\nUNION ALL\n{sql_suite_sql()}", True)(
+        lambda wh: wh.check_suite)
+    for name, _sev in SQL_CHECKS:
+        register(name, f"SELECT * FROM {SQL_CHECK_CTE[name]}", True)(lambda wh, n=name: wh.sql_checks[n])
+
+
+def _register_landing() -> None:
+    from ledgerlark.operators.invariants import source_freshness
+    from ledgerlark.sources.landing import landing_counts, with_load_stamp
+
+    counts_sql = "\nUNION ALL\n".join(
+        f"SELECT 'raw_{n}' AS table_name, count(*) AS n_rows FROM raw_{n}"
+        for n in ("users", "conversations", "llm_requests", "intent_predictions", "escalations", "daily_model_prices"))
+    register("landing_counts", counts_sql)(lambda wh: landing_counts(wh.feeds))
+    fresh_sql = "\nUNION ALL\n".join(
+        f"SELECT 'raw_{n}' AS table_name, max(ts) AS max_loaded_at, "
+        f"(epoch(TIMESTAMP '{FIXED_AS_OF}') - epoch(max(ts))) / 3600.0 AS age_hours, "
+        f"CASE WHEN max(ts) IS NULL OR (epoch(TIMESTAMP '{FIXED_AS_OF}') - epoch(max(ts))) / 3600.0 > 72 THEN 'error' "
+        f"WHEN (epoch(TIMESTAMP '{FIXED_AS_OF}') - epoch(max(ts))) / 3600.0 > 24 THEN 'warn' ELSE 'pass' END AS status "
+        f"FROM (SELECT TIMESTAMP '{FIXED_LOADED_AT}' AS ts FROM raw_{n}) x"
+        for n in ("users", "conversations", "llm_requests", "intent_predictions", "escalations"))
+    register("freshness", fresh_sql)(lambda wh: source_freshness(
+        {f"raw_{n}": df for n, df in with_load_stamp(
+            {k: v for k, v in wh.feeds.items() if k != "daily_model_prices"}, FIXED_LOADED_AT).items()},
+        FIXED_AS_OF))
+
+
+_register_landing()
+
+
+_register_checks()
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def make(fn):
+    def make(name, fn):
+        if name in ON_WRITTEN_LAYERS:
+            return lambda spark, sf_dir: publish(fn(materialized_warehouse(spark, sf_dir)))
         return lambda spark, sf_dir: publish(fn(Warehouse.from_driver_tables(spark, sf_dir)))
-    return {name: make(fn) for name, fn in SPARK.items()}
+    return {name: make(name, fn) for name, fn in SPARK.items()}
 
 
 def oracle_queries() -> dict[str, str]:
@@ -86,5 +165,6 @@ def oracle_queries() -> dict[str, str]:
         if dec:
             repl = ", ".join(f"cast({c} as double) AS {c}" for c in dec)
             final = f"SELECT * REPLACE ({repl}) FROM ({final}) q"
-        out[name] = build(final)
+        out[name] = build(final, materialize=name == "check_suite").replace(
+            "{incident}", WarehouseConfig().incident_date)
     return out

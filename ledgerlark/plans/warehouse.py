@@ -169,9 +169,33 @@ class Warehouse:
         from ledgerlark.operators.anomalies import daily_anomalies
         return daily_anomalies(self.fct_daily_product_metrics, self.config.anomaly)
 
+    # data quality ---------------------------------------------------------
+    def dataset(self, name: str) -> DataFrame:
+        """Any layer by name: ``raw_<feed>``, seeds, staging, intermediate or mart."""
+        if name.startswith("raw_"):
+            return self.feeds[name[4:]]
+        return getattr(self, name)
+
+    @cached_property
+    def sql_checks(self) -> dict[str, DataFrame]:
+        """Q10-Q19: violating rows of each cross-mart invariant."""
+        from ledgerlark.operators.invariants import sql_check_frames
+        return sql_check_frames(self)
+
+    @cached_property
+    def check_suite(self) -> DataFrame:
+        """Q09 - all declared checks plus the SQL invariants, one row per check."""
+        from ledgerlark.operators.checks import DECLARED, run_checks
+        from ledgerlark.operators.invariants import sql_check_results
+
+        names = {c.dataset for c in DECLARED} | {c.parent[0] for c in DECLARED if c.parent}
+        declared = run_checks({n: self.dataset(n) for n in names}, DECLARED)
+        return declared.unionByName(sql_check_results(self.sql_checks))
+
 
 MART_NAMES = (
     "dim_users", "dim_models", "dim_intents", "fct_conversations", "fct_llm_requests",
     "fct_daily_product_metrics", "fct_daily_model_costs", "fct_weekly_cohort_retention",
     "mart_intent_quality", "mart_model_reliability_daily", "mart_daily_anomalies",
 )
+
