@@ -12,33 +12,39 @@ The output root defaults to the shared folder the cluster names in
 
 from __future__ import annotations
 
+import os
 import time
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerlark.plans.warehouse import MART_NAMES, Warehouse
 from ledgerlark.session import checkpoint_dir
 
-# name -> layer folder (S08 namespaces); order is a valid build order.
+# Datasets written by a run: name -> layer folder (S08 namespaces), in build order.
+# Staging and the single-consumer intermediates stay lazy views (as in the
+# reference); what is written is every dataset with several consumers plus the
+# published marts.
 LAYERS: dict[str, str] = {
-    "stg_users": "staging",
-    "stg_conversations": "staging",
-    "stg_llm_requests": "staging",
-    "stg_intent_predictions": "staging",
-    "stg_escalations": "staging",
-    "stg_daily_model_prices": "staging",
     "priced_requests": "intermediate",
-    "int_conversation_request_rollup": "intermediate",
-    "int_conversation_quality": "intermediate",
     "conversation_facts": "intermediate",
     "int_daily_product_metrics": "intermediate",
-    "int_intent_confusion": "intermediate",
     **{m: "marts" for m in MART_NAMES},
 }
-# marts partitioned by date on write (partition pruning for date-range readers)
-PARTITION_BY = {"fct_llm_requests": "request_date"}
+# Staging views re-planned as projections of a written superset, so neither the
+# request dedupe nor the conversation typing runs twice.
+PROJECTED_VIEWS: dict[str, str] = {
+    "stg_llm_requests": "priced_requests",
+    "stg_conversations": "conversation_facts",
+}
+# marts partitioned by date on write (partition pruning for date-range readers):
+# name -> (partition column, row key used to spread one date over several files)
+PARTITION_BY = {"fct_llm_requests": ("request_date", "request_id")}
+# Files written per date partition.  Rows are routed by (date, hash(key) % n), so
+# one very large day is written by n tasks in parallel instead of one.
+FILES_PER_PARTITION = int(os.environ.get("LEDGERLARK_FILES_PER_PARTITION", "1"))
 
 
 @dataclass
@@ -61,12 +67,17 @@ def materialize(wh: Warehouse, root: str | None = None, names: list[str] | None
             continue
         t0 = time.time()
         df: DataFrame = getattr(wh, name)
-        w = df.write.mode("overwrite")
         if name in PARTITION_BY:
-            w = w.partitionBy(PARTITION_BY[name])
-        w.parquet(run.path(name))
+            part, key = PARTITION_BY[name]
+            salt = F.pmod(F.xxhash64(key), F.lit(FILES_PER_PARTITION))
+            df.repartition(part, salt).write.mode("overwrite").partitionBy(part).parquet(run.path(name))
+        else:
+            df.write.mode("overwrite").parquet(run.path(name))
         written = wh.spark.read.parquet(run.path(name)).select(*df.columns)
         wh.__dict__[name] = written          # downstream datasets now plan on the written table
+        for view, source in PROJECTED_VIEWS.items():
+            if source == name:
+                wh.__dict__[view] = written.select(*getattr(wh, view).columns)
         run.timings[name] = time.time() - t0
     return run
 
