@@ -27,6 +27,20 @@ DECIMAL_COLUMNS = {'check_conversation_cost_ledger': ['conversation_cost', 'requ
                      'cost_delta_usd'],
  'mart_intent_quality': ['total_cost_usd'],
  'mart_model_reliability_daily': ['total_cost_usd'],
+ 'report_cost_by_model': ['cost'],
+ 'report_cost_drift_by_model': ['delta'],
+ 'report_daily_model_costs': ['total_cost_usd',
+                              'total_logged_cost_usd',
+                              'cost_reconciliation_delta_usd',
+                              'wasted_cost_on_failures_usd',
+                              'input_price_per_1k_tokens',
+                              'output_price_per_1k_tokens'],
+ 'report_data_quality_summary': ['calculated_cost', 'logged_cost'],
+ 'report_headline_tiles': ['llm_cost_usd'],
+ 'report_incident_blast_radius': ['cost_of_affected_conversations_usd'],
+ 'report_kpi_series': ['total_cost_usd', 'total_logged_cost_usd', 'cost_reconciliation_delta_usd'],
+ 'report_model_scorecard': ['cost'],
+ 'report_reliability': ['total_cost_usd'],
  'stg_intent_predictions': ['confidence'],
  'stg_llm_requests': ['recorded_cost_usd'],
  'warn_unreconciled_costs': ['logged_cost_usd', 'calculated_cost_usd']}

@@ -145,6 +145,49 @@ def _register_landing() -> None:
 _register_landing()
 
 
+def incident_window(cfg: WarehouseConfig) -> tuple[str, str]:
+    """The analysis window of R21: the incident day and one day either side."""
+    import datetime as dt
+
+    d = dt.date.fromisoformat(cfg.incident_date)
+    return str(d - dt.timedelta(days=1)), str(d + dt.timedelta(days=1))
+
+
+def _register_reports() -> None:
+    from ledgerlark.oracle.reports_sql import REPORTS
+    from ledgerlark.plans import reports as R
+
+    spark_side = {
+        "report_kpi_series": lambda wh: R.kpi_series(wh.fct_daily_product_metrics),
+        "report_headline_tiles": lambda wh: R.headline_tiles(wh.fct_daily_product_metrics),
+        "report_daily_model_costs": lambda wh: R.daily_model_costs(wh.fct_daily_model_costs),
+        "report_cost_by_model": lambda wh: R.cost_by_model(wh.fct_daily_model_costs),
+        "report_reliability": lambda wh: R.reliability(wh.mart_model_reliability_daily),
+        "report_failures_by_status": lambda wh: R.failures_by_status(wh.mart_model_reliability_daily),
+        "report_model_scorecard": lambda wh: R.model_scorecard(wh.mart_model_reliability_daily),
+        "report_anomaly_list": lambda wh: R.anomaly_list(wh.mart_daily_anomalies),
+        "report_metrics_flagged_per_day": lambda wh: R.metrics_flagged_per_day(wh.mart_daily_anomalies),
+        "report_cohort_grid": lambda wh: R.cohort_grid(wh.fct_weekly_cohort_retention),
+        "report_retention_curve": lambda wh: R.retention_curve(wh.fct_weekly_cohort_retention),
+        "report_intent_table": lambda wh: R.intent_table(wh.mart_intent_quality),
+        "report_conversation_cube": lambda wh: R.conversation_cube(wh.fct_conversations),
+        "report_confidence_distribution": lambda wh: R.confidence_distribution(wh.fct_conversations),
+        "report_escalations_top_intents": lambda wh: R.escalations_top_intents(wh.fct_conversations),
+        "report_data_quality_summary": lambda wh: R.data_quality_summary(wh.fct_llm_requests),
+        "report_flag_shares": lambda wh: R.flag_shares(wh.fct_llm_requests),
+        "report_cost_drift_by_model": lambda wh: R.cost_drift_by_model(wh.fct_daily_model_costs),
+        "report_conflicting_flags": lambda wh: R.conflicting_flag_counter(wh.fct_conversations),
+        "report_kpi_panels": lambda wh: R.kpi_panels(wh.fct_daily_product_metrics),
+        "report_incident_blast_radius": lambda wh: R.incident_blast_radius(
+            wh.mart_model_reliability_daily, wh.fct_conversations, *incident_window(wh.config)),
+    }
+    for name, fn in spark_side.items():
+        register(name, REPORTS[name], True)(fn)
+
+
+_register_reports()
+
+
 _register_checks()
 
 
@@ -166,5 +209,7 @@ def oracle_queries() -> dict[str, str]:
             repl = ", ".join(f"cast({c} as double) AS {c}" for c in dec)
             final = f"SELECT * REPLACE ({repl}) FROM ({final}) q"
         out[name] = build(final, materialize=name == "check_suite").replace(
-            "{incident}", WarehouseConfig().incident_date)
+            "{incident}", WarehouseConfig().incident_date).replace(
+            "{incident_start}", incident_window(WarehouseConfig())[0]).replace(
+            "{incident_end}", incident_window(WarehouseConfig())[1])
     return out
