@@ -188,6 +188,27 @@ def _register_reports() -> None:
 _register_reports()
 
 
+def _register_extensions() -> None:
+    from ledgerlark.operators.defects import inject_defects, reconcile_manifest
+    from ledgerlark.oracle.defects_sql import DEFECT_MANIFEST_SQL, RECONCILIATION_SQL
+    from ledgerlark.sources.feeds import derive_feeds
+
+    def injected(wh: Warehouse):
+        clean = derive_feeds(wh.spark, wh.source_root, clean=True)
+        return inject_defects(clean)
+
+    def reconciliation(wh: Warehouse) -> DataFrame:
+        messy, manifest = injected(wh)
+        return reconcile_manifest(manifest, Warehouse(wh.spark, messy, wh.config,
+                                                      price_rows_bound=wh.price_rows_bound))
+
+    register("defect_manifest", DEFECT_MANIFEST_SQL)(lambda wh: injected(wh)[1])
+    register("manifest_reconciliation", RECONCILIATION_SQL)(reconciliation)
+
+
+_register_extensions()
+
+
 _register_checks()
 
 

@@ -33,12 +33,15 @@ class Warehouse:
         self.persist_shared = persist_shared
         self.price_rows_bound = price_rows_bound
         self._persisted: list[DataFrame] = []
+        self.source_root: str | None = None
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, root: str, **kw) -> Warehouse:
         """Feeds derived from the driver parquet tables (FIXTURES.md §2)."""
         kw.setdefault("price_rows_bound", PRICE_DAYS * len(seeds.MODEL_NAMES))
-        return cls(spark, derive_feeds(spark, root), **kw)
+        wh = cls(spark, derive_feeds(spark, root), **kw)
+        wh.source_root = root
+        return wh
 
     def _shared(self, df: DataFrame) -> DataFrame:
         if self.persist_shared:

@@ -144,10 +144,13 @@ def conversation_base(t: DriverTables) -> DataFrame:
     )
 
 
-def raw_conversations(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
+def raw_conversations(t: DriverTables, base: DataFrame | None = None, clean: bool = False) -> DataFrame:
+    """``clean=True`` leaves out the fixture's contradictory resolution flags."""
     b = base if base is not None else conversation_base(t)
     ok, uk, dy, sec, dur, esc = (F.col(c) for c in ("ok", "uk", "dy", "sec", "dur", "esc"))
-    resolved = ((~esc) & (F.col("prio") != "5-LOW")) | (esc & ((ok % F.lit(251)) == F.lit(0)))
+    resolved = ((~esc) & (F.col("prio") != "5-LOW"))
+    if not clean:
+        resolved = resolved | (esc & ((ok % F.lit(251)) == F.lit(0)))
     unrated = ((ok * F.lit(5) + uk) % F.lit(3)) == F.lit(0)
     score = F.concat(as_text(F.lit(1) + (ok * F.lit(11) + uk) % F.lit(5)), F.lit(".0"))
     return b.select(
@@ -213,9 +216,11 @@ def raw_daily_model_prices(spark: SparkSession, days: int = PRICE_DAYS) -> DataF
     )
 
 
-def raw_llm_requests(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
+def raw_llm_requests(t: DriverTables, base: DataFrame | None = None, clean: bool = False) -> DataFrame:
     """lineitem ⋈ conversations on the order key, one request per line item.
 
+    ``clean=True`` switches every fixture defect off (input of defect injection).
+
     Replays are emitted by exploding a 1- or 2-element array (one pass, no union),
     so the feed is produced by a single join stage.
     """
@@ -267,7 +272,7 @@ def raw_llm_requests(t: DriverTables, base: DataFrame | None = None) -> DataFram
     )
     inp, out = price_columns(m, F.col("rd"))
     true_cost = F.round((pt * inp + ct * out) * F.lit("0.001").cast("decimal(4,3)"), 6).cast("decimal(12,6)")
-    stale = ((ok + pk * F.lit(7)) % F.lit(101)) == F.lit(11)
+    stale = F.lit(False) if clean else ((ok + pk * F.lit(7)) % F.lit(101)) == F.lit(11)
     factor = F.coalesce(
         *[F.when(m == F.lit(i), F.lit(f).cast("decimal(3,2)")) for i, f in STALE_COST_FACTORS.items()],
         F.lit("1.00").cast("decimal(3,2)"),
@@ -279,6 +284,8 @@ def raw_llm_requests(t: DriverTables, base: DataFrame | None = None) -> DataFram
     token_gap = (pk % F.lit(199)) == F.lit(3)
     late = ((ok * F.lit(5) + pk) % F.lit(251)) == F.lit(9)
     replay = ((ok + pk) % F.lit(331)) == F.lit(1)
+    if clean:
+        orphan = alias = neg_latency = token_gap = late = replay = F.lit(False)
     late_secs = F.when(late, (F.lit(2) + ok % F.lit(4)) * F.lit(86400)).otherwise(F.lit(0))
     copies = F.explode(F.when(replay, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     j = j.select("*", copies.alias("copy"))
@@ -304,14 +311,14 @@ def raw_llm_requests(t: DriverTables, base: DataFrame | None = None) -> DataFram
 FEED_NAMES = ("users", "conversations", "llm_requests", "intent_predictions", "escalations", "daily_model_prices")
 
 
-def derive_feeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def derive_feeds(spark: SparkSession, root: str, clean: bool = False) -> dict[str, DataFrame]:
     """All six raw feeds, keyed by feed name (lazy; nothing is computed here)."""
     t = DriverTables(spark, root)
     base = conversation_base(t)
     return {
         "users": raw_users(t),
-        "conversations": raw_conversations(t, base),
-        "llm_requests": raw_llm_requests(t, base),
+        "conversations": raw_conversations(t, base, clean),
+        "llm_requests": raw_llm_requests(t, base, clean),
         "intent_predictions": raw_intent_predictions(t, base),
         "escalations": raw_escalations(t, base),
         "daily_model_prices": raw_daily_model_prices(spark),
