@@ -29,11 +29,11 @@ def calculated_cost(prompt_tokens, completion_tokens, input_price, output_price)
     return (raw * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(12,6)")
 
 
-def int_model_costs(requests: DataFrame, prices: DataFrame, price_rows_bound: int | None = None) -> DataFrame:
-    """M07 - request-grain cost recomputation and reconciliation (X04 inside).
+def price_of_day(requests: DataFrame, prices: DataFrame, price_rows_bound: int | None = None) -> DataFrame:
+    """X04 - attach the price sheet row valid on each request's date (exact (model, date) key).
 
-    Returns the full staging row plus price, recomputed cost and reconciliation
-    columns.  ``model_costs_view`` projects the published M07 contract.
+    The sheet is a (days x models) dimension: broadcast when its proven row bound
+    fits the budget, otherwise left to the planner (sort-merge beyond the budget).
     """
     p = broadcast_if_small(
         prices.select(
@@ -44,9 +44,18 @@ def int_model_costs(requests: DataFrame, prices: DataFrame, price_rows_bound: in
         ),
         price_rows_bound,
     )
-    j = requests.join(
+    return requests.join(
         p, (requests.model_name == p._p_model) & (requests.request_date == p._p_date), "left"
     ).drop("_p_model", "_p_date")
+
+
+def int_model_costs(requests: DataFrame, prices: DataFrame, price_rows_bound: int | None = None) -> DataFrame:
+    """M07 - request-grain cost recomputation and reconciliation.
+
+    Returns the full staging row plus price, recomputed cost and reconciliation
+    columns.  ``model_costs_view`` projects the published M07 contract.
+    """
+    j = price_of_day(requests, prices, price_rows_bound)
     calc = calculated_cost(
         F.col("prompt_tokens"), F.col("completion_tokens"),
         F.col("input_price_per_1k_tokens"), F.col("output_price_per_1k_tokens"),

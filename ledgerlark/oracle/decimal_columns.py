@@ -27,6 +27,7 @@ DECIMAL_COLUMNS = {'check_conversation_cost_ledger': ['conversation_cost', 'requ
                      'cost_delta_usd'],
  'mart_intent_quality': ['total_cost_usd'],
  'mart_model_reliability_daily': ['total_cost_usd'],
+ 'monthly_kpis': ['conversation_cost_usd', 'cost_usd', 'logged_cost_usd', 'cost_reconciliation_delta_usd'],
  'report_cost_by_model': ['cost'],
  'report_cost_drift_by_model': ['delta'],
  'report_daily_model_costs': ['total_cost_usd',
@@ -41,6 +42,8 @@ DECIMAL_COLUMNS = {'check_conversation_cost_ledger': ['conversation_cost', 'requ
  'report_kpi_series': ['total_cost_usd', 'total_logged_cost_usd', 'cost_reconciliation_delta_usd'],
  'report_model_scorecard': ['cost'],
  'report_reliability': ['total_cost_usd'],
+ 'request_price_lookup': ['input_price_per_1k_tokens', 'output_price_per_1k_tokens'],
  'stg_intent_predictions': ['confidence'],
  'stg_llm_requests': ['recorded_cost_usd'],
- 'warn_unreconciled_costs': ['logged_cost_usd', 'calculated_cost_usd']}
+ 'warn_unreconciled_costs': ['logged_cost_usd', 'calculated_cost_usd'],
+ 'weekly_kpis': ['conversation_cost_usd', 'cost_usd', 'logged_cost_usd', 'cost_reconciliation_delta_usd']}

@@ -202,6 +202,19 @@ def _register_extensions() -> None:
         return reconcile_manifest(manifest, Warehouse(wh.spark, messy, wh.config,
                                                       price_rows_bound=wh.price_rows_bound))
 
+    from ledgerlark.operators.intermediate import price_of_day
+    from ledgerlark.operators.rollups import rollup_kpis
+    from ledgerlark.oracle.marts_sql import rollup_sql
+
+    for unit in ("week", "month"):
+        register(f"{unit}ly_kpis", rollup_sql(unit))(lambda wh, u=unit: rollup_kpis(
+            wh.int_daily_product_metrics, wh.stg_conversations, wh.priced_requests, u))
+    register("request_price_lookup", """
+        SELECT r.request_id, r.request_date, r.model_name, p.input_price_per_1k_tokens, p.output_price_per_1k_tokens
+        FROM s_llm_requests r
+        LEFT JOIN s_daily_model_prices p ON r.model_name = p.model_name AND r.request_date = p.price_date""")(
+        lambda wh: price_of_day(wh.stg_llm_requests, wh.stg_daily_model_prices, wh.price_rows_bound).select(
+            "request_id", "request_date", "model_name", "input_price_per_1k_tokens", "output_price_per_1k_tokens"))
     register("defect_manifest", DEFECT_MANIFEST_SQL)(lambda wh: injected(wh)[1])
     register("manifest_reconciliation", RECONCILIATION_SQL)(reconciliation)
 
