@@ -94,7 +94,8 @@ def dedupe_requests(typed: DataFrame) -> DataFrame:
     the aggregate combines map-side, so a request_id replayed millions of times
     never lands whole in a single task.
     """
-    payload = [c for c in typed.columns if c not in ("request_id", "ingested_at", "created_at")]
+    merged = "ingest_copies" in typed.columns       # already-deduplicated rows carry their copy count
+    payload = [c for c in typed.columns if c not in ("request_id", "ingested_at", "created_at", "ingest_copies")]
     order = F.struct(
         F.col("ingested_at").isNull().alias("_ing_null"),
         F.col("ingested_at"),
@@ -104,7 +105,7 @@ def dedupe_requests(typed: DataFrame) -> DataFrame:
     )
     first = typed.groupBy("request_id").agg(
         F.min(order).alias("_first"),
-        F.count(F.lit(1)).alias("ingest_copies"),
+        (F.sum("ingest_copies") if merged else F.count(F.lit(1))).alias("ingest_copies"),
     )
     return first.select(
         "request_id",
@@ -117,7 +118,16 @@ def dedupe_requests(typed: DataFrame) -> DataFrame:
 
 def stg_llm_requests(raw: DataFrame, aliases: DataFrame) -> DataFrame:
     """M03 - typed, deduplicated, alias-mapped, defect-flagged requests."""
-    d = dedupe_requests(_typed_requests(raw))
+    return finish_requests(dedupe_requests(_typed_requests(raw)), aliases)
+
+
+def typed_requests(raw: DataFrame) -> DataFrame:
+    """Typed request rows (before deduplication)."""
+    return _typed_requests(raw)
+
+
+def finish_requests(d: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Alias mapping, recomputed tokens, defect flags and buckets of deduplicated rows."""
     a = F.broadcast(aliases.select("model_name_alias", "model_name_canonical"))  # fixed seed
     j = d.join(a, d.model_name_raw == a.model_name_alias, "left")
     pt, ct = F.col("prompt_tokens"), F.col("completion_tokens")

@@ -45,5 +45,6 @@ DECIMAL_COLUMNS = {'check_conversation_cost_ledger': ['conversation_cost', 'requ
  'request_price_lookup': ['input_price_per_1k_tokens', 'output_price_per_1k_tokens'],
  'stg_intent_predictions': ['confidence'],
  'stg_llm_requests': ['recorded_cost_usd'],
+ 'stg_llm_requests_incremental': ['recorded_cost_usd'],
  'warn_unreconciled_costs': ['logged_cost_usd', 'calculated_cost_usd'],
  'weekly_kpis': ['conversation_cost_usd', 'cost_usd', 'logged_cost_usd', 'cost_reconciliation_delta_usd']}

@@ -188,6 +188,22 @@ def _register_reports() -> None:
 _register_reports()
 
 
+def incremental_requests(wh: Warehouse) -> DataFrame:
+    """X07 - land the request feed as files in the shared folder, stage it with the stream."""
+    import uuid
+
+    from ledgerlark.session import checkpoint_dir
+    from ledgerlark.sources.landing import FEED_COLUMNS
+    from ledgerlark.streaming.incremental import staged_requests, start_incremental_staging
+
+    root = f"{checkpoint_dir(wh.spark)}/incremental-{uuid.uuid4().hex[:12]}"
+    wh.feeds["llm_requests"].select(*FEED_COLUMNS["llm_requests"]).write.option("header", True).csv(
+        f"{root}/landing")
+    q = start_incremental_staging(wh.spark, f"{root}/landing", f"{root}/state", f"{root}/stream-ckpt")
+    q.awaitTermination()
+    return staged_requests(wh.spark, f"{root}/state", wh.model_aliases)
+
+
 def _register_extensions() -> None:
     from ledgerlark.operators.defects import inject_defects, reconcile_manifest
     from ledgerlark.oracle.defects_sql import DEFECT_MANIFEST_SQL, RECONCILIATION_SQL
@@ -216,6 +232,7 @@ def _register_extensions() -> None:
         lambda wh: price_of_day(wh.stg_llm_requests, wh.stg_daily_model_prices, wh.price_rows_bound).select(
             "request_id", "request_date", "model_name", "input_price_per_1k_tokens", "output_price_per_1k_tokens"))
     register("defect_manifest", DEFECT_MANIFEST_SQL)(lambda wh: injected(wh)[1])
+    register("stg_llm_requests_incremental", "SELECT * FROM s_llm_requests")(incremental_requests)
     register("manifest_reconciliation", RECONCILIATION_SQL)(reconciliation)
 
 
