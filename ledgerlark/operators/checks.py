@@ -277,6 +277,41 @@ def relationship_violations(child: DataFrame, column: str, parent: DataFrame, pa
     return c.join(keys, c[column] == keys["_parent_key"], "left_anti")
 
 
+GROUPED_KINDS = ("unique", "combination", "accepted_values")
+
+
+def grouped_violation_counts(df: DataFrame, dataset: str, checks: list[Check]) -> DataFrame:
+    """unique / combination / accepted-values checks of one dataset in ONE shuffle.
+
+    Each row emits one (check, key) entry per check that concerns it - the key
+    for unique / combination checks, only offending values for accepted-values
+    checks - then a single ``groupBy(check, key)`` counts the groups.  Same
+    shuffle volume as separate checks, one exchange instead of one per check.
+    """
+    entries = []
+    for i, c in enumerate(checks):
+        if c.kind == "unique":
+            v = _value(df, dataset, c.column)
+            entries.append(F.when(v.isNotNull(), F.struct(F.lit(i).alias("i"), v.cast("string").alias("k"))))
+        elif c.kind == "combination":
+            key = F.to_json(F.struct(*[F.col(x) for x in c.columns]), {"ignoreNullFields": "false"})
+            entries.append(F.struct(F.lit(i).alias("i"), key.alias("k")))
+        else:
+            bad = ~F.col(c.column).isin(*c.values)
+            entries.append(F.when(bad, F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("k"))))
+    exploded = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+    groups = exploded.groupBy("e.i", "e.k").agg(F.count(F.lit(1)).alias("n"))
+    needs_dup = F.array(*[F.lit(c.kind != "accepted_values") for c in checks])
+    per_check = groups.where(~F.element_at(needs_dup, F.col("i") + 1) | (F.col("n") > 1)) \
+        .groupBy("i").agg(F.count(F.lit(1)).alias("n_violations"))
+    ids = df.sparkSession.createDataFrame([(i,) for i in range(len(checks))], "i int")
+    counted = F.broadcast(ids).join(per_check, "i", "left")
+    meta = F.array(*[F.struct(*_result(c, F.lit(0))[:5]) for c in checks])
+    return counted.select(
+        F.element_at(meta, F.col("i") + 1).alias("m"), F.coalesce("n_violations", F.lit(0)).cast("long").alias("n")
+    ).select("m.*", F.col("n").alias("n_violations"))
+
+
 def _result(check: Check, n: Column) -> list[Column]:
     return [
         F.lit(check.check_name).alias("check_name"),
@@ -293,8 +328,8 @@ def run_checks(datasets: dict[str, DataFrame], checks: list[Check]) -> DataFrame
 
     Row-level checks of one dataset are fused into a single aggregate pass
     (``count_if`` per check), so N checks on a table cost one scan, not N.
-    Grouped kinds (unique / combination / accepted values / relationships) are
-    one shuffle each; accepted-values filters before it shuffles.
+    Grouped kinds (unique / combination / accepted values) of one dataset share
+    one shuffle; each relationship check is one anti join.
     """
     parts: list[DataFrame] = []
     by_dataset: dict[str, list[Check]] = {}
@@ -308,20 +343,13 @@ def run_checks(datasets: dict[str, DataFrame], checks: list[Check]) -> DataFrame
             parts.append(counts.select(F.inline(F.array(*[
                 F.struct(*_result(c, F.col(f"c{i}"))) for i, c in enumerate(row_checks)
             ]))))
+        grouped = [c for c in group if c.kind in GROUPED_KINDS]
+        if grouped:
+            parts.append(grouped_violation_counts(df, name, grouped))
         for c in group:
-            if c.kind in ROW_KINDS:
+            if c.kind != "relationships":
                 continue
-            if c.kind == "unique":
-                v = unique_violations(df, name, c.column)
-            elif c.kind == "combination":
-                v = combination_violations(df, c.columns)
-            elif c.kind == "accepted_values":
-                v = accepted_values_violations(df, c.column, c.values)
-            elif c.kind == "relationships":
-                pdf = datasets[c.parent[0]]
-                v = relationship_violations(df, c.column, pdf, c.parent[1])
-            else:
-                raise ValueError(c.kind)
+            v = relationship_violations(df, c.column, datasets[c.parent[0]], c.parent[1])
             parts.append(v.agg(*_result(c, F.count(F.lit(1)))))
     out = reduce(DataFrame.unionByName, parts)
     return with_status(out)
