@@ -23,7 +23,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerlark.plans.pipeline import materialize  # noqa: E402
+from ledgerlark.plans.pipeline import materialize, write_check_suite  # noqa: E402
 from ledgerlark.plans.warehouse import Warehouse  # noqa: E402
 from ledgerlark.session import local_session  # noqa: E402
 from ledgerlark.sources.feeds import PRICE_DAYS, derive_feeds  # noqa: E402
@@ -43,7 +43,7 @@ def run_once(spark, sf_dir: str, root: str) -> dict[str, float]:
     timings.update(run.timings)
     timings["_build"] = time.time() - t1
     t2 = time.time()
-    wh.check_suite.write.mode("overwrite").parquet(f"{root}/warehouse/audit/check_suite")
+    write_check_suite(wh, f"{root}/warehouse/audit/check_suite")
     timings["check_suite"] = time.time() - t2
     return timings
 

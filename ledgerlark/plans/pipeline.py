@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -33,6 +34,18 @@ LAYERS: dict[str, str] = {
     "int_daily_product_metrics": "intermediate",
     **{m: "marts" for m in MART_NAMES},
 }
+# Build waves: every dataset of a wave depends only on earlier waves, so the jobs of
+# one wave run concurrently (small marts would otherwise leave executors idle).
+WAVES: list[list[str]] = [
+    ["priced_requests"],
+    ["conversation_facts"],
+    ["int_daily_product_metrics", "dim_users", "dim_models", "dim_intents", "fct_conversations",
+     "fct_llm_requests", "fct_weekly_cohort_retention"],
+    ["fct_daily_product_metrics", "fct_daily_model_costs", "mart_model_reliability_daily", "mart_intent_quality"],
+    ["mart_daily_anomalies"],
+]
+assert sorted(n for w in WAVES for n in w) == sorted(LAYERS)
+CONCURRENT_JOBS = int(os.environ.get("LEDGERLARK_CONCURRENT_JOBS", "8"))
 # Staging views re-planned as projections of a written superset, so neither the
 # request dedupe nor the conversation typing runs twice.
 PROJECTED_VIEWS: dict[str, str] = {
@@ -56,42 +69,75 @@ class PipelineRun:
         return f"{self.root}/{LAYERS[name]}/{name}"
 
 
-def materialize(wh: Warehouse, root: str | None = None, names: list[str] | None = None) -> PipelineRun:
-    """Write the requested datasets (default: all layers) and rewire ``wh`` onto them."""
+def _write(df: DataFrame, name: str, path: str) -> float:
+    t0 = time.time()
+    if name in PARTITION_BY:
+        part, key = PARTITION_BY[name]
+        salt = F.pmod(F.xxhash64(key), F.lit(FILES_PER_PARTITION))
+        df.repartition(part, salt).write.mode("overwrite").partitionBy(part).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return time.time() - t0
+
+
+def materialize(wh: Warehouse, root: str | None = None, names: list[str] | None = None,
+                concurrent_jobs: int = CONCURRENT_JOBS) -> PipelineRun:
+    """Write the requested datasets (default: all layers) wave by wave and rewire ``wh`` onto them.
+
+    Plans of one wave are built in the calling thread (after the previous wave
+    was rewired), then their write jobs run concurrently.
+    """
     if root is None:
         root = f"{checkpoint_dir(wh.spark)}/ledgerlark-{uuid.uuid4().hex[:12]}"
     run = PipelineRun(root)
-    wanted = names or list(LAYERS)
-    for name in LAYERS:
-        if name not in wanted:
-            continue
-        t0 = time.time()
-        df: DataFrame = getattr(wh, name)
-        if name in PARTITION_BY:
-            part, key = PARTITION_BY[name]
-            salt = F.pmod(F.xxhash64(key), F.lit(FILES_PER_PARTITION))
-            df.repartition(part, salt).write.mode("overwrite").partitionBy(part).parquet(run.path(name))
-        else:
-            df.write.mode("overwrite").parquet(run.path(name))
-        written = wh.spark.read.parquet(run.path(name)).select(*df.columns)
-        wh.__dict__[name] = written          # downstream datasets now plan on the written table
-        for view, source in PROJECTED_VIEWS.items():
-            if source == name:
-                wh.__dict__[view] = written.select(*getattr(wh, view).columns)
-        run.timings[name] = time.time() - t0
+    wanted = set(names or LAYERS)
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        for wave in WAVES:
+            todo = [n for n in wave if n in wanted]
+            plans = {n: getattr(wh, n) for n in todo}
+            futures = {n: pool.submit(_write, plans[n], n, run.path(n)) for n in todo}
+            for n in todo:
+                run.timings[n] = futures[n].result()
+            for n in todo:
+                written = wh.spark.read.parquet(run.path(n)).select(*plans[n].columns)
+                wh.__dict__[n] = written          # downstream datasets now plan on the written table
+                for view, source in PROJECTED_VIEWS.items():
+                    if source == n:
+                        wh.__dict__[view] = written.select(*getattr(wh, view).columns)
     return run
 
 
+def write_check_suite(wh: Warehouse, path: str, concurrent_jobs: int = CONCURRENT_JOBS) -> DataFrame:
+    """Q09 on the written layers: one small job per dataset (plus one for the SQL invariants),
+    run concurrently, each appending its rows to the audit table - never one giant plan."""
+    from ledgerlark.operators.checks import DECLARED, run_checks
+    from ledgerlark.operators.invariants import sql_check_results
+
+    parts: dict[str, DataFrame] = {}
+    for ds in dict.fromkeys(c.dataset for c in DECLARED):
+        group = [c for c in DECLARED if c.dataset == ds]
+        needed = {ds} | {c.parent[0] for c in group if c.parent}
+        parts[ds] = run_checks({n: wh.dataset(n) for n in needed}, group)
+    parts["sql_checks"] = sql_check_results(wh.sql_checks)
+
+    def write(item):
+        name, df = item
+        df.write.mode("overwrite").parquet(f"{path}/part={name}")
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        list(pool.map(write, parts.items()))
+    return wh.spark.read.parquet(path).drop("part")
+
+
 def run_pipeline(wh: Warehouse, root: str | None = None, with_checks: bool = True) -> tuple[PipelineRun, DataFrame | None]:
     """S11 - build every layer in dependency order, then run the check suite on the written layers."""
     run = materialize(wh, root)
     if not with_checks:
         return run, None
     t0 = time.time()
-    suite = wh.check_suite
-    suite.write.mode("overwrite").parquet(f"{run.root}/audit/check_suite")
+    suite = write_check_suite(wh, f"{run.root}/audit/check_suite")
     run.timings["check_suite"] = time.time() - t0
-    return run, wh.spark.read.parquet(f"{run.root}/audit/check_suite")
+    return run, suite
 
 
 def read_mart(spark, root: str, name: str) -> DataFrame:

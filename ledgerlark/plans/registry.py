@@ -115,8 +115,14 @@ def _register_checks() -> None:
 
     for qname, kind in CHECK_KINDS.items():
         register(qname, declared_suite_sql(kind), True)(lambda wh, k=kind: kind_checks(wh, k))
-    register("check_suite", f"{declared_suite_sql()}\nUNION ALL\n{sql_suite_sql()}", True)(
-        lambda wh: wh.check_suite)
+    def suite(wh: Warehouse) -> DataFrame:
+        import uuid
+
+        from ledgerlark.plans.pipeline import write_check_suite
+        from ledgerlark.session import checkpoint_dir
+        return write_check_suite(wh, f"{checkpoint_dir(wh.spark)}/check-suite-{uuid.uuid4().hex[:12]}")
+
+    register("check_suite", f"{declared_suite_sql()}\nUNION ALL\n{sql_suite_sql()}", True)(suite)
     for name, _sev in SQL_CHECKS:
         register(name, f"SELECT * FROM {SQL_CHECK_CTE[name]}", True)(lambda wh, n=name: wh.sql_checks[n])
 
