@@ -25,10 +25,13 @@ from ledgerlark.plans.warehouse import MART_NAMES, Warehouse
 from ledgerlark.session import checkpoint_dir
 
 # Datasets written by a run: name -> layer folder (S08 namespaces), in build order.
-# Staging and the single-consumer intermediates stay lazy views (as in the
-# reference); what is written is every dataset with several consumers plus the
-# published marts.
+# Single-consumer staging / intermediate datasets stay lazy views (as in the
+# reference); what is written is every dataset with several consumers (marts and
+# checks) plus the published marts.
 LAYERS: dict[str, str] = {
+    "stg_users": "staging",
+    "stg_intent_predictions": "staging",
+    "stg_escalations": "staging",
     "priced_requests": "intermediate",
     "conversation_facts": "intermediate",
     "int_daily_product_metrics": "intermediate",
@@ -37,7 +40,7 @@ LAYERS: dict[str, str] = {
 # Build waves: every dataset of a wave depends only on earlier waves, so the jobs of
 # one wave run concurrently (small marts would otherwise leave executors idle).
 WAVES: list[list[str]] = [
-    ["priced_requests"],
+    ["priced_requests", "stg_users", "stg_intent_predictions", "stg_escalations"],
     ["conversation_facts"],
     ["int_daily_product_metrics", "dim_users", "dim_models", "dim_intents", "fct_conversations",
      "fct_llm_requests", "fct_weekly_cohort_retention"],
@@ -51,6 +54,7 @@ CONCURRENT_JOBS = int(os.environ.get("LEDGERLARK_CONCURRENT_JOBS", "8"))
 PROJECTED_VIEWS: dict[str, str] = {
     "stg_llm_requests": "priced_requests",
     "stg_conversations": "conversation_facts",
+    "int_conversation_quality": "conversation_facts",
 }
 # marts partitioned by date on write (partition pruning for date-range readers):
 # name -> (partition column, row key used to spread one date over several files)
