@@ -203,9 +203,9 @@ def raw_escalations(t: DriverTables, base: DataFrame | None = None) -> DataFrame
 
 def raw_daily_model_prices(spark: SparkSession, days: int = PRICE_DAYS) -> DataFrame:
     """Price sheet: one row per (day, model); ``days x 5`` rows, a bounded dimension."""
-    grid = spark.range(days).select(F.col("id").cast("int").alias("d")).crossJoin(
-        spark.range(len(MODEL_NAMES)).select(F.col("id").cast("int").alias("m"))
-    )
+    n_models = len(MODEL_NAMES)
+    grid = spark.range(days * n_models).select(
+        (F.col("id") / F.lit(n_models)).cast("int").alias("d"), (F.col("id") % F.lit(n_models)).cast("int").alias("m"))
     inp, out = price_columns(F.col("m"), F.col("d"))
     return grid.select(
         F.date_add(w0_date(), F.col("d")).cast("string").alias("price_date"),
