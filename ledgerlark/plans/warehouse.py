@@ -172,6 +172,20 @@ class Warehouse:
         from ledgerlark.operators.anomalies import daily_anomalies
         return daily_anomalies(self.fct_daily_product_metrics, self.config.anomaly)
 
+    def register_views(self, names: list[str] | None = None, prefix: str = "") -> list[str]:
+        """S06 - expose datasets as temporary views for SQL users (still lazy plans)."""
+        from ledgerlark.plans.pipeline import LAYERS
+
+        names = names or [
+            "stg_users", "stg_conversations", "stg_llm_requests", "stg_intent_predictions", "stg_escalations",
+            "stg_daily_model_prices", "int_model_costs", "int_conversation_request_rollup",
+            "int_conversation_quality", "int_daily_product_metrics", "int_intent_confusion",
+            *[n for n, layer in LAYERS.items() if layer == "marts"],
+        ]
+        for n in names:
+            getattr(self, n).createOrReplaceTempView(prefix + n)
+        return [prefix + n for n in names]
+
     # data quality ---------------------------------------------------------
     def dataset(self, name: str) -> DataFrame:
         """Any layer by name: ``raw_<feed>``, seeds, staging, intermediate or mart."""
