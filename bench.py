@@ -70,6 +70,9 @@ def main() -> None:
     build = timings.pop("_build")
     checks = timings["check_suite"]
     summary = spark.read.parquet(f"{scratch}/timed/warehouse/audit/check_suite").groupBy("status").count().collect()
+    marts = f"{scratch}/timed/warehouse/marts"
+    rows = {n: spark.read.parquet(f"{marts}/{n}").count()
+            for n in ("fct_llm_requests", "fct_conversations", "dim_users", "mart_daily_anomalies")}
 
     print(json.dumps({
         "metric": "pipeline_build_and_check",
@@ -81,6 +84,7 @@ def main() -> None:
         "checks_sec": round(checks, 3),
         "land_sec": round(timings["land"], 3),
         "check_status": {r["status"]: r["count"] for r in summary},
+        "rows": rows,
         "cpus": int(cpus),
         "warmup": {"input": warm_dir, "sec": round(warm, 3), "timed": False},
     }))

@@ -51,6 +51,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LEDGERLARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")   # concurrent pipeline jobs share the cores
     )
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
