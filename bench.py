@@ -18,14 +18,14 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlark.plans.pipeline import materialize, write_check_suite  # noqa: E402
 from ledgerlark.plans.warehouse import Warehouse  # noqa: E402
-from ledgerlark.session import local_session  # noqa: E402
+from ledgerlark.session import checkpoint_dir, local_session  # noqa: E402
 from ledgerlark.sources.feeds import PRICE_DAYS, derive_feeds  # noqa: E402
 from ledgerlark.sources.landing import read_feeds, write_feeds  # noqa: E402
 from ledgerlark.sources.seeds import MODEL_NAMES  # noqa: E402
@@ -54,8 +54,8 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus))
-    scratch = tempfile.mkdtemp(prefix="ledgerlark-bench-")
-    spark.conf.set("spark.checkpoint.dir", scratch) if not spark.conf.get("spark.checkpoint.dir", None) else None
+    # Scratch output under the session's shared checkpoint folder (a local one only when unset).
+    scratch = f"{checkpoint_dir(spark)}/ledgerlark-bench-{uuid.uuid4().hex[:12]}"
 
     # Untimed warm-up: the same code path on a small input, so JIT compilation and
     # Spark's generated-code cache are warm, as on a long-running cluster.

@@ -72,20 +72,28 @@ def interpolated_median(sorted_arr: Column) -> Column:
     return F.when(n > 0, lo_v + (hi_v - lo_v) * (pos - lo.cast("double")))
 
 
-def frame_stats(values: Column) -> tuple[Column, Column, Column]:
-    """(median, MAD, count) of the non-null values collected in a window frame."""
-    arr = F.array_sort(values)
-    med = interpolated_median(arr)
-    dev = F.array_sort(F.transform(arr, lambda x: F.abs(x - med)))
-    return med, interpolated_median(dev), F.size(arr).cast("long")
+def with_frame_stats(df: DataFrame, values: str) -> DataFrame:
+    """Add (baseline_value, baseline_mad, n_history_days): median, MAD and count of the array ``values``.
+
+    One projection per step, so the sorted frame and its median are computed once
+    per row and *referenced* by the next step (inlining them would repeat the sort
+    inside the deviation lambda and blow the expression up combinatorially).
+    """
+    sorted_df = df.withColumn("_sorted", F.array_sort(F.col(values)))
+    with_med = sorted_df.withColumn("baseline_value", interpolated_median(F.col("_sorted")))
+    with_dev = with_med.withColumn(
+        "_dev", F.array_sort(F.transform("_sorted", lambda x: F.abs(x - F.col("baseline_value")))))
+    return with_dev.select(
+        *[c for c in with_dev.columns if c not in ("_sorted", "_dev")],
+        interpolated_median(F.col("_dev")).alias("baseline_mad"),
+        F.size("_sorted").cast("long").alias("n_history_days"),
+    )
 
 
 def _with_baseline(long: DataFrame, window, min_history: int) -> DataFrame:
-    med, mad, n = frame_stats(F.collect_list("metric_value").over(window))
-    return long.select(
-        "*", med.alias("baseline_value"), mad.alias("baseline_mad"), n.alias("n_history_days"),
-        F.lit(min_history).alias("min_history_days"),
-    )
+    framed = long.select("*", F.collect_list("metric_value").over(window).alias("_history"))
+    return with_frame_stats(framed, "_history").drop("_history").withColumn(
+        "min_history_days", F.lit(min_history))
 
 
 def spread_floor(kind: Column, b: Column, den: Column) -> Column:
@@ -110,24 +118,26 @@ def daily_anomalies(daily_kpis: DataFrame, params: AnomalyParams | None = None)
         _with_baseline(long.where(F.col("metric_kind") == "amount"), weekly, p.min_history_weeks)
     )
     x, b, kind = F.col("metric_value"), F.col("baseline_value"), F.col("metric_kind")
+    # spread, z and the flag are each projected once and referenced afterwards
     spread = F.greatest(F.lit(MAD_TO_SIGMA) * F.col("baseline_mad"), spread_floor(kind, b, F.col("denominator")),
                         F.lit(MIN_SPREAD))
-    z = (x - b) / spread
-    enough = F.col("n_history_days") >= F.col("min_history_days")
-    flagged = enough & (F.abs(z) > F.lit(p.z_threshold))
+    scored = based.withColumn("baseline_spread", spread) \
+        .withColumn("_z", (x - b) / F.col("baseline_spread")) \
+        .withColumn("_enough", F.col("n_history_days") >= F.col("min_history_days"))
+    flagged = scored.withColumn("is_anomaly", F.col("_enough") & (F.abs("_z") > F.lit(p.z_threshold)))
     side = F.when(x > b, "high").otherwise("low")
-    return based.select(
+    return flagged.select(
         "metric_date",
         "metric_name",
         "metric_kind",
         "metric_value",
         "denominator",
-        b.alias("baseline_value"),
-        spread.alias("baseline_spread"),
+        "baseline_value",
+        "baseline_spread",
         "n_history_days",
-        F.when(enough, z).alias("robust_z"),
+        F.when(F.col("_enough"), F.col("_z")).alias("robust_z"),
         F.when(x > b, "high").when(x < b, "low").alias("direction"),
         "actionable_direction",
-        flagged.alias("is_anomaly"),
-        (flagged & (side == F.col("actionable_direction"))).alias("is_actionable_anomaly"),
+        "is_anomaly",
+        (F.col("is_anomaly") & (side == F.col("actionable_direction"))).alias("is_actionable_anomaly"),
     )

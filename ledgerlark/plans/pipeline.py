@@ -59,6 +59,15 @@ PROJECTED_VIEWS: dict[str, str] = {
 # marts partitioned by date on write (partition pruning for date-range readers):
 # name -> (partition column, row key used to spread one date over several files)
 PARTITION_BY = {"fct_llm_requests": ("request_date", "request_id")}
+# Datasets whose row count is bounded by fixed domains (calendar days / weeks x catalogue
+# models, intents or metric names), not by event volume: their few rows are shuffled into
+# one partition before the write (``repartition``, not ``coalesce``, so the stage that
+# computes them keeps its parallelism) and land as one file instead of one per task.
+DOMAIN_BOUNDED = {
+    "int_daily_product_metrics", "dim_models", "dim_intents", "fct_daily_product_metrics",
+    "fct_daily_model_costs", "mart_model_reliability_daily", "mart_intent_quality",
+    "mart_daily_anomalies", "fct_weekly_cohort_retention",
+}
 # Files written per date partition.  Rows are routed by (date, hash(key) % n), so
 # one very large day is written by n tasks in parallel instead of one.
 FILES_PER_PARTITION = int(os.environ.get("LEDGERLARK_FILES_PER_PARTITION", "1"))
@@ -79,6 +88,8 @@ def _write(df: DataFrame, name: str, path: str) -> float:
         part, key = PARTITION_BY[name]
         salt = F.pmod(F.xxhash64(key), F.lit(FILES_PER_PARTITION))
         df.repartition(part, salt).write.mode("overwrite").partitionBy(part).parquet(path)
+    elif name in DOMAIN_BOUNDED:
+        df.repartition(1).write.mode("overwrite").parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return time.time() - t0
@@ -126,7 +137,8 @@ def write_check_suite(wh: Warehouse, path: str, concurrent_jobs: int = CONCURREN
 
     def write(item):
         name, df = item
-        df.write.mode("overwrite").parquet(f"{path}/part={name}")
+        # at most one row per check: one file per dataset, not one per upstream task
+        df.repartition(1).write.mode("overwrite").parquet(f"{path}/part={name}")
 
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
         list(pool.map(write, parts.items()))

@@ -33,11 +33,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session names none (local tests) is a scratch folder created.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        # ``spark.checkpoint.dir`` is a core setting that cannot be changed on a
+        # running session; the context's checkpoint folder can.
         d = tempfile.mkdtemp(prefix="ledgerlark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 

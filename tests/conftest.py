@@ -13,8 +13,8 @@ def spark(tmp_path_factory):
     from ledgerlark.session import local_session
 
     s = local_session(cores="*", shuffle_partitions=8, app="ledgerlark-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("ckpt")))
+    if not s.conf.get("spark.checkpoint.dir", None) and s.sparkContext.getCheckpointDir() is None:
+        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
 
 

@@ -4,7 +4,7 @@ import datetime as dt
 import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.anomalies import METRICS, daily_anomalies, frame_stats
+from ledgerlark.operators.anomalies import METRICS, daily_anomalies, with_frame_stats
 
 
 def daily_frame(spark, error_rates, n_requests=1000):
@@ -54,7 +54,8 @@ def test_low_side_is_not_actionable_for_high_metric(spark):
 def test_median_mad_match_numpy(spark):
     vals = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0]
     df = spark.createDataFrame([(vals,)], "v array<double>")
-    med, mad, n = frame_stats(F.col("v"))
-    r = df.select(med.alias("m"), mad.alias("d"), n.alias("n")).first()
+    r = with_frame_stats(df, "v").select(
+        F.col("baseline_value").alias("m"), F.col("baseline_mad").alias("d"), F.col("n_history_days").alias("n")
+    ).first()
     assert r.m == np.median(vals) and r.n == len(vals)
     assert abs(r.d - np.median(np.abs(np.array(vals) - np.median(vals)))) < 1e-12
