@@ -301,15 +301,14 @@ def grouped_violation_counts(df: DataFrame, dataset: str, checks: list[Check]) -
             entries.append(F.when(bad, F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("k"))))
     exploded = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
     groups = exploded.groupBy("e.i", "e.k").agg(F.count(F.lit(1)).alias("n"))
-    needs_dup = F.array(*[F.lit(c.kind != "accepted_values") for c in checks])
-    per_check = groups.where(~F.element_at(needs_dup, F.col("i") + 1) | (F.col("n") > 1)) \
-        .groupBy("i").agg(F.count(F.lit(1)).alias("n_violations"))
-    ids = df.sparkSession.createDataFrame([(i,) for i in range(len(checks))], "i int")
-    counted = F.broadcast(ids).join(per_check, "i", "left")
-    meta = F.array(*[F.struct(*_result(c, F.lit(0))[:5]) for c in checks])
-    return counted.select(
-        F.element_at(meta, F.col("i") + 1).alias("m"), F.coalesce("n_violations", F.lit(0)).cast("long").alias("n")
-    ).select("m.*", F.col("n").alias("n_violations"))
+    # One global aggregate over the (few) offending groups counts every check at once,
+    # zeros included: no second shuffle on the check id and no join with a list of ids.
+    i, n = F.col("i"), F.col("n")
+    counts = groups.agg(*[
+        F.count_if((i == F.lit(j)) & ((n > 1) if c.kind != "accepted_values" else F.lit(True))).alias(f"c{j}")
+        for j, c in enumerate(checks)
+    ])
+    return counts.select(F.inline(F.array(*[F.struct(*_result(c, F.col(f"c{j}"))) for j, c in enumerate(checks)])))
 
 
 def _result(check: Check, n: Column) -> list[Column]:
