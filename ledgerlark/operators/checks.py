@@ -281,12 +281,14 @@ GROUPED_KINDS = ("unique", "combination", "accepted_values")
 
 
 def grouped_violation_counts(df: DataFrame, dataset: str, checks: list[Check]) -> DataFrame:
-    """unique / combination / accepted-values checks of one dataset in ONE shuffle.
-
-    Each row emits one (check, key) entry per check that concerns it - the key
-    for unique / combination checks, only offending values for accepted-values
-    checks - then a single ``groupBy(check, key)`` counts the groups.  Same
-    shuffle volume as separate checks, one exchange instead of one per check.
+    """All unique / combination / accepted-values checks of one dataset - and, fused in
+    the same pass, its row-level checks - in ONE scan and ONE shuffle.
+
+    Each row emits one (check, key) entry per check that concerns it: the key for
+    unique / combination checks, only offending values for accepted-values checks,
+    and a NULL key when it violates a row-level check.  A single ``groupBy(check, key)``
+    counts the groups; its partial aggregate folds the row-level entries map-side into
+    one count per check and task, so they add almost nothing to the shuffle.
     """
     entries = []
     for i, c in enumerate(checks):
@@ -296,18 +298,25 @@ def grouped_violation_counts(df: DataFrame, dataset: str, checks: list[Check]) -
         elif c.kind == "combination":
             key = F.to_json(F.struct(*[F.col(x) for x in c.columns]), {"ignoreNullFields": "false"})
             entries.append(F.struct(F.lit(i).alias("i"), key.alias("k")))
-        else:
+        elif c.kind == "accepted_values":
             bad = ~F.col(c.column).isin(*c.values)
             entries.append(F.when(bad, F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("k"))))
+        else:
+            entries.append(F.when(row_violation(c, df),
+                                  F.struct(F.lit(i).alias("i"), F.lit(None).cast("string").alias("k"))))
     exploded = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
     groups = exploded.groupBy("e.i", "e.k").agg(F.count(F.lit(1)).alias("n"))
     # One global aggregate over the (few) offending groups counts every check at once,
     # zeros included: no second shuffle on the check id and no join with a list of ids.
     i, n = F.col("i"), F.col("n")
-    counts = groups.agg(*[
-        F.count_if((i == F.lit(j)) & ((n > 1) if c.kind != "accepted_values" else F.lit(True))).alias(f"c{j}")
-        for j, c in enumerate(checks)
-    ])
+
+    def count(j: int, c: Check) -> Column:
+        if c.kind in ROW_KINDS:          # offending rows: the size of the check's one group
+            return F.coalesce(F.sum(F.when(i == F.lit(j), n)), F.lit(0))
+        offending = (n > 1) if c.kind != "accepted_values" else F.lit(True)
+        return F.count_if((i == F.lit(j)) & offending)
+
+    counts = groups.agg(*[count(j, c).alias(f"c{j}") for j, c in enumerate(checks)])
     return counts.select(F.inline(F.array(*[F.struct(*_result(c, F.col(f"c{j}"))) for j, c in enumerate(checks)])))
 
 
@@ -325,10 +334,10 @@ def _result(check: Check, n: Column) -> list[Column]:
 def run_checks(datasets: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """Q09 - one row per check: (check_name, dataset, layer, kind, severity, n_violations, status).
 
-    Row-level checks of one dataset are fused into a single aggregate pass
-    (``count_if`` per check), so N checks on a table cost one scan, not N.
-    Grouped kinds (unique / combination / accepted values) of one dataset share
-    one shuffle; each relationship check is one anti join.
+    All row-level and grouped kinds (unique / combination / accepted values) of
+    one dataset share one scan and one shuffle (a dataset with row-level checks
+    only takes a single ``count_if`` aggregate pass), so N checks on a table cost
+    one scan, not N; each relationship check is one anti join.
     """
     parts: list[DataFrame] = []
     by_dataset: dict[str, list[Check]] = {}
@@ -337,14 +346,15 @@ def run_checks(datasets: dict[str, DataFrame], checks: list[Check]) -> DataFrame
     for name, group in by_dataset.items():
         df = datasets[name]
         row_checks = [c for c in group if c.kind in ROW_KINDS]
-        if row_checks:
+        grouped = [c for c in group if c.kind in GROUPED_KINDS]
+        if grouped:
+            # row-level checks ride along in the grouped pass: one scan of the dataset
+            parts.append(grouped_violation_counts(df, name, grouped + row_checks))
+        elif row_checks:
             counts = df.agg(*[F.count_if(row_violation(c, df)).alias(f"c{i}") for i, c in enumerate(row_checks)])
             parts.append(counts.select(F.inline(F.array(*[
                 F.struct(*_result(c, F.col(f"c{i}"))) for i, c in enumerate(row_checks)
             ]))))
-        grouped = [c for c in group if c.kind in GROUPED_KINDS]
-        if grouped:
-            parts.append(grouped_violation_counts(df, name, grouped))
         for c in group:
             if c.kind != "relationships":
                 continue
