@@ -37,3 +37,19 @@ def test_raw_blank_is_missing(spark):
     by = {r.kind: r for r in res}
     assert by["not_null"].n_violations == 2 and by["not_null"].status == "warn"
     assert by["unique"].n_violations == 1
+
+
+def test_fused_and_row_only_paths_agree(spark):
+    """Row-level checks give the same counts whether they ride in the grouped pass or run alone,
+    including zero counts (a check no row violates still reports 0, not a missing row)."""
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (2, None), (4, 7.0)], "k int, r double")
+    row_checks = [
+        Check("t", "not_null", "r"),                                  # 1 row
+        Check("t", "accepted_range", "r", low=0.0),                   # -1.0 -> 1 row
+        Check("t", "expression", expression="k > 0", name="never"),   # 0 rows
+    ]
+    alone = {r.check_name: r.n_violations for r in run_checks({"t": df}, row_checks).collect()}
+    fused = {r.check_name: r.n_violations
+             for r in run_checks({"t": df}, row_checks + [Check("t", "unique", "k")]).collect()}
+    assert alone == {"not_null__t__r": 1, "accepted_range__t__r": 1, "never": 0}
+    assert fused == {**alone, "unique__t__k": 1}
