@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import table
 from ledgerlark.llm.near_dup import near_duplicates
+from ledgerlark.llm.substring_dedup import drop_repeated_spans
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words outside repeated 20-word windows of each document, as counts and a digest."""
+    return (drop_repeated_spans(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
 
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +24,7 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_near_dup": op9_near_dup,
 }
 
