@@ -8,10 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import table
+from ledgerlark.llm.decontaminate import contaminated
+from ledgerlark.llm.line_dedup import dedup_lines
 from ledgerlark.llm.near_dup import near_duplicates
 from ledgerlark.llm.substring_dedup import drop_repeated_spans
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item it holds at least 80 % of, in five-word shingles."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=5, percent=80)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the multi-line chunks that an earlier document holds."""
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words outside repeated 20-word windows of each document, as counts and a digest."""
     return (drop_repeated_spans(table(spark, sf_dir, "documents"))
@@ -24,8 +36,27 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
+    "op5_line_dedup": op5_line_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_near_dup": op9_near_dup,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words as all operators take them, and five-word shingles of a table's texts.
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+_OP3 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+     ds AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS t(i)),
+     bs AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 4], ' ') AS s FROM b, unnest(range(1, len(w) - 3)) AS t(i)),
+     q AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id)
+SELECT ds.doc_id, bs.item_id, count(*) AS n_common, any_value(q.n_item) AS n_item
+FROM ds JOIN bs USING (s) JOIN q USING (item_id)
+GROUP BY ds.doc_id, bs.item_id
+HAVING 100 * count(*) >= 80 * any_value(q.n_item)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_decontamination": _OP3,
+}
