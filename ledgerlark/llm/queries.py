@@ -11,6 +11,7 @@ from ledgerlark.llm.common import table
 from ledgerlark.llm.decontaminate import contaminated
 from ledgerlark.llm.line_dedup import dedup_lines
 from ledgerlark.llm.near_dup import near_duplicates
+from ledgerlark.llm.quality_rules import quality_scores
 from ledgerlark.llm.substring_dedup import drop_repeated_spans
 
 
@@ -30,6 +31,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by the rule ensemble."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents at 0.8 Jaccard similarity of two-word shingle sets."""
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
@@ -39,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op9_near_dup": op9_near_dup,
 }
 
