@@ -13,6 +13,7 @@ from ledgerlark.llm.line_dedup import dedup_lines
 from ledgerlark.llm.near_dup import near_duplicates
 from ledgerlark.llm.quality_rules import quality_scores
 from ledgerlark.llm.substring_dedup import drop_repeated_spans
+from ledgerlark.llm.toxicity import toxicity_scores
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=5, percent=80)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by the classifier trained on weak labels."""
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without the multi-line chunks that an earlier document holds."""
     return dedup_lines(table(spark, sf_dir, "documents"))
@@ -43,6 +49,7 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
