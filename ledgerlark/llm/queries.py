@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ledgerlark.llm.common import table
 from ledgerlark.llm.decontaminate import contaminated
 from ledgerlark.llm.line_dedup import dedup_lines
+from ledgerlark.llm.mixing import mix_sources
+from ledgerlark.llm.mixing import oracle as mixing_oracle
 from ledgerlark.llm.near_dup import near_duplicates
 from ledgerlark.llm.quality_rules import quality_scores
 from ledgerlark.llm.substring_dedup import drop_repeated_spans
@@ -47,6 +49,11 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source temperature to the size of the corpus."""
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
@@ -54,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op9_near_dup": op9_near_dup,
+    "op10_mixing": op10_mixing,
 }
 
 #: Words as all operators take them, and five-word shingles of a table's texts.
@@ -73,4 +81,5 @@ HAVING 100 * count(*) >= 80 * any_value(q.n_item)
 
 ORACLES: dict[str, str] = {
     "op3_decontamination": _OP3,
+    "op10_mixing": mixing_oracle(),
 }
