@@ -17,6 +17,7 @@ from ledgerlark.llm.near_dup import near_duplicates
 from ledgerlark.llm.quality_rules import quality_scores
 from ledgerlark.llm.substring_dedup import drop_repeated_spans
 from ledgerlark.llm.toxicity import toxicity_scores
+from ledgerlark.llm.warc import archive_round_trip
 
 
 #: A conversation whose texts look like the template's own marks.
@@ -56,6 +57,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, normalised and read back."""
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents at 0.8 Jaccard similarity of two-word shingle sets."""
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_warc": op8_warc,
     "op9_near_dup": op9_near_dup,
     "op10_mixing": op10_mixing,
 }
@@ -127,8 +134,20 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM j GROUP BY conv_id
 """
 
+_OP8 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha1(coalesce(html, '')) AS digest FROM pages
+),
+g AS (SELECT digest, size, max(page_id) AS top FROM p WHERE size >= 1000 GROUP BY digest, size)
+SELECT p.page_id, p.size::BIGINT AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN p.page_id < g.top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id < g.top THEN g.top END AS refers_to
+FROM p LEFT JOIN g USING (digest, size)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_chat_format": _OP2,
     "op3_decontamination": _OP3,
+    "op8_warc": _OP8,
     "op10_mixing": mixing_oracle(),
 }
