@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlark.llm.ann_forest import forest_search, usable
 from ledgerlark.llm.chat_format import chat_digests
 from ledgerlark.llm.common import table
 from ledgerlark.llm.decontaminate import contaminated
@@ -20,6 +21,12 @@ from ledgerlark.llm.toxicity import toxicity_scores
 from ledgerlark.llm.warc import archive_round_trip
 
 
+def op1_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every embedding whose vec_id is divisible by 20."""
+    rows = usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return forest_search(rows, rows.where("id % 20 = 0"), k=20)
+
+
 #: A conversation whose texts look like the template's own marks.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -73,6 +80,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann_forest": op1_ann_forest,
     "op2_chat_format": op2_chat_format,
     "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
