@@ -79,6 +79,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    from corpus_pipeline import run   # the module at the top of the repository
+
+    return run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann_forest": op1_ann_forest,
     "op2_chat_format": op2_chat_format,
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_near_dup": op9_near_dup,
     "op10_mixing": op10_mixing,
+    "pipeline": pipeline,
 }
 
 #: Words as all operators take them, and five-word shingles of a table's texts.
