@@ -8,11 +8,13 @@
    probability ``(1 - t**rows)**bands`` (5e-7 for the defaults at 0.8).
 3. In each bucket the smallest member is the pivot and every other member is
    compared with it: as many comparisons as members.  Signatures (one byte of each
-   minimum) discard pairs far below the threshold, the full shingle sets decide.
+   of ``SIGNATURE`` minima) discard pairs far below the threshold; of the others a
+   parity sketch gives a lower bound of the sets' difference, which discards
+   without error; the full shingle sets decide.
 4. Connected components by alternating large-star and small-star rounds.
 5. Buckets that still hold several components are compared member by member, in
    blocks, across components only, so no link is lost to the choice of pivot.  Only
-   pairs that pass the signature test leave a block.
+   pairs that pass signature and sketch leave a block.
 
 Defined results: a text that is null, empty or has no word has an empty set and is
 linked with nothing.  Fewer words than a shingle: the whole sequence is the one
@@ -37,8 +39,10 @@ from ledgerlark.llm.textnum import mix, shingle_sets, word_list, words_of
 BANDS, ROWS = 48, 6
 #: Members of one side of a block in the comparison across components.
 BLOCK = 256
-#: A signature estimate this far below the threshold (over 6 standard errors) rules a pair out.
-SLACK = 0.16
+#: Minima whose low bytes make the signature.
+SIGNATURE = 128
+#: A signature estimate this far below the threshold (7 standard errors at 0.8) rules a pair out.
+SLACK = 0.25
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,10 +62,36 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return best
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """For each of ``L`` slots (a power of two, 2 to 4 times the set) whether it got an odd number of shingles."""
+    size = 1 << max(6, (2 * len(shingles) - 1).bit_length())
+    slots = (shingles & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slots, minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch (bytes along the last axis) over fewer slots: parities of merged slots add up."""
+    while sketch.shape[-1] > size:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
+    return sketch
+
+
+def least_difference(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A lower bound of the size of the symmetric difference: slots whose parity differs."""
+    size = min(a.shape[-1], b.shape[-1])
+    return np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum(axis=-1, dtype=np.int64)
+
+
+def most_difference(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """How large the difference of sets of these sizes may be at ``percent`` similarity."""
+    return (100 - percent) * (n + m) // (100 + percent)
+
+
 def _profiles(k: int, bands: int, rows: int):
-    """Arrow function: (doc_id, text) -> set size, set digest, band keys, signature bytes."""
+    """Arrow function: (doc_id, text) -> set size, set digest, band keys, signature, sketch."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
-                        ("band_keys", pa.list_(pa.int64())), ("signature", pa.binary())])
+                        ("band_keys", pa.list_(pa.int64())), ("signature", pa.binary()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _coefficients(bands * rows)
@@ -69,46 +99,52 @@ def _profiles(k: int, bands: int, rows: int):
         for batch in batches:
             ids = batch.column(0)
             for lo, buf, offs in text_slices(batch.column(1)):
-                sizes, digests, keys, sigs = [], [], [], []
+                sizes, digests, keys, sigs, sketches = [], [], [], [], []
                 for s in shingle_sets(words_of(buf, offs, lower=True), k):
                     sizes.append(len(s))
                     if not len(s):
-                        digests.append(None), keys.append(None), sigs.append(None)
+                        digests.append(None), keys.append(None), sigs.append(None), sketches.append(None)
                         continue
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     m = minima(s, a, b)
-                    sigs.append((m >> np.uint32(24)).astype(np.uint8).tobytes())
+                    sigs.append((m[:SIGNATURE] & np.uint32(255)).astype(np.uint8).tobytes())
+                    sketches.append(parity_sketch(s))
                     h = salt.copy()
                     for c in m.reshape(bands, rows).T.astype(np.uint64):
                         h = mix(h + c)
                     keys.append(h.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, len(sizes)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], schema=schema)
+                     pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), pa.array(sketches, pa.binary())], schema=schema)
 
     return run
 
 
-def estimates(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
-    """Similarity from one-byte signatures of ``n`` minima; chance agreement is one in 256."""
-    same = (left.reshape(-1, n) == right.reshape(-1, n)).mean(axis=1)
-    return (same - 1 / 256) / (1 - 1 / 256)
+def estimates(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Similarity from one-byte signatures (last axis); chance agreement is one in 256."""
+    return ((left == right).mean(axis=-1) - 1 / 256) / (1 - 1 / 256)
+
 
+def _signature_test(pairs: DataFrame, profiles: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose signatures and sketches allow the similarity, so the texts are worth reading."""
+    def side(c: str) -> DataFrame:
+        return profiles.select(F.col("node").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n_shingles", "signature", "sketch")])
 
-def _signature_test(pairs: DataFrame, signatures: DataFrame, n: int, least: float) -> DataFrame:
-    """Pairs (a, b) whose signatures agree well enough to be worth reading the texts."""
-    joined = (pairs.join(signatures.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
-              .join(signatures.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
-              .select("a", "b", "sa", "sb"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", *[f"{x}_{c}" for c in ("a", "b") for x in ("n_shingles", "signature", "sketch")])
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8) for c in (2, 3))
-            keep = pa.array(estimates(left, right, n) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=schema)
+            (n, left, s), (m, right, t) = [[batch.column(c + j) for j in range(3)] for c in (2, 5)]
+            sigs = [np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, width) for x in (left, right)]
+            close = np.flatnonzero(estimates(*sigs) >= percent / 100 - SLACK)
+            most = most_difference(n.to_numpy(), m.to_numpy(), percent)
+            keep = pa.array([i for i in close.tolist()
+                             if least_difference(np.frombuffer(s[i].as_py(), np.uint8), np.frombuffer(t[i].as_py(), np.uint8)) <= most[i]], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], schema=schema)
 
     return arrow_map(joined, run, "a long, b long")
 
@@ -178,31 +214,39 @@ def connected_components(edges: DataFrame) -> DataFrame:
         state.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
 
 
-def _rest_candidates(members: DataFrame, labels: DataFrame, signatures: DataFrame, n: int, least: float) -> DataFrame:
-    """Pairs across components inside one bucket, compared by signature in blocks."""
+def _rest_candidates(members: DataFrame, labels: DataFrame, profiles: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs across components inside one bucket, compared by signature and sketch in blocks."""
     named = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
              .where("lo <> hi and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    dealt = (named.join(mixed, "key").join(signatures, "node")
+    dealt = (named.join(mixed, "key").join(profiles, "node")
              .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "signature"))
+             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                     "own", "node", "component", "n_shingles", "signature", "sketch"))
     parts = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def pairs_of(rows: pa.Table) -> pa.RecordBatch:
-        own, node, comp = (rows.column(c).to_numpy() for c in ("own", "node", "component"))
-        sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(-1, n)
+        own, node, comp, size = (rows.column(c).to_numpy() for c in ("own", "node", "component", "n_shingles"))
+        sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(-1, width)
+        sketch = [np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()]
+        slots = np.array([len(x) for x in sketch])
+        of_size = {c: (np.flatnonzero(slots == c), np.stack([sketch[r] for r in np.flatnonzero(slots == c)])) for c in np.unique(slots)}
+        at = np.empty(len(slots), np.int64)   # row of each member in the matrix of its sketch size
+        for r, _ in of_size.values():
+            at[r] = np.arange(len(r))
         i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         out = [np.empty((0, 2), np.int64)]
         for x in left:
             y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if i == j else True)]
             if len(y):
-                same = (sig[y] == sig[x]).mean(axis=1)
-                y = y[(same - 1 / 256) / (1 - 1 / 256) >= least]
-                if len(y):
-                    out.append(np.stack([np.maximum(node[y], node[x]), np.minimum(node[y], node[x])], axis=1))
+                y = y[estimates(sig[y], sig[x]) >= percent / 100 - SLACK]
+            for c in np.unique(slots[y]):
+                z = y[slots[y] == c]
+                z = z[least_difference(of_size[c][1][at[z]], sketch[x]) <= most_difference(size[z], size[x], percent)]
+                out.append(np.stack([np.maximum(node[z], node[x]), np.minimum(node[z], node[x])], axis=1))
         e = np.concatenate(out)
         return pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], schema=schema)
 
@@ -234,32 +278,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     """
     spark = docs.sparkSession
     docs = columns_as(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    n, least = bands * rows, percent / 100 - SLACK
+    width = min(SIGNATURE, bands * rows)
     profile = cut(arrow_map(docs, _profiles(k, bands, rows),
-                            "doc_id long, n_shingles long, digest binary, band_keys array<long>, signature binary"), "profiles")
+                            "doc_id long, n_shingles long, digest binary, band_keys array<long>, signature binary, sketch binary"), "profiles")
     known = docs.where("doc_id is not null")
     linkable = profile.where("doc_id is not null and digest is not null")
-    reps = linkable.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    first = linkable.join(reps, "digest").where("doc_id = node")
-    rep_rows = cut(first.groupBy("digest", "node").agg(F.any_value("band_keys").alias("band_keys"), F.any_value("signature").alias("signature")), "reps")
+    reps = cut(linkable.groupBy("digest").agg(F.min("doc_id").alias("node")), "representatives")
+    first = linkable.join(reps, "digest").where("doc_id = node").select("node", "n_shingles", "band_keys", "signature", "sketch")
+    rep_rows = cut(first, "reps")
     # Rows of one doc_id with several texts meet here as one node with several sets.
-    same_id = (linkable.select("doc_id", "digest").distinct().join(reps, "digest").where("doc_id <> node")
-               .select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct())
     several = (linkable.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select(F.col("doc_id").alias("a")))
-    same_id = same_id.join(several, "a", "left_semi")
+    same_id = (linkable.select("doc_id", "digest").join(reps, "digest").where("doc_id <> node")
+               .select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct().join(several, "a", "left_semi"))
 
-    signatures = rep_rows.select("node", "signature")
+    profiles = rep_rows.select("node", "n_shingles", "signature", "sketch")
     banded = rep_rows.select("node", F.explode("band_keys").alias("key"))
     pivots = (banded.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select("key", "pivot"))
-    members = cut(banded.join(pivots, "key").select("key", "node", "pivot"), "members")
+    members = cut(banded.join(pivots, "key").select("key", "node", "pivot").distinct(), "members")
     release_shuffles(spark)
     star = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    tried = cut(_signature_test(star, signatures, n, least), "star")
+    tried = cut(_signature_test(star, profiles, width, percent).distinct(), "star")
     links = cut(verify(tried, known, k, percent).union(same_id), "links")
     release_shuffles(spark)
     labels = cut(connected_components(links), "labels")
 
-    rest = cut(_rest_candidates(members.select("key", "node"), labels, signatures, n, least).join(tried, ["a", "b"], "left_anti"), "rest")
+    rest = cut(_rest_candidates(members.select("key", "node"), labels, profiles, width, percent).join(tried, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = cut(verify(rest, known, k, percent), "more")
         release_shuffles(spark)
