@@ -38,7 +38,17 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._llm_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables written by ``cut`` that nothing will read again."""
+    for t in tables:
+        jvm, sc = t.sparkSession._jvm, t.sparkSession.sparkContext
+        path = jvm.org.apache.hadoop.fs.Path(t._llm_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release_shuffles(spark: SparkSession) -> None:

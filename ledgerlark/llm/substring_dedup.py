@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import arrow_map, columns_as, cut, long_lists, release_shuffles, text_slices
+from ledgerlark.llm.common import arrow_map, columns_as, cut, discard, release_shuffles, text_slices
 from ledgerlark.llm.textnum import Words, fold, words_of
 
 WINDOW, SEED = 20, 8
@@ -223,14 +223,18 @@ def _repeated(keyed: DataFrame, k: int, seed: int) -> tuple[DataFrame, DataFrame
     hits = cut(seeds.join(often, "seed").select("did", "sub", "seed").join(copies, ["did", "sub"], "left_anti")
                .groupBy("did", "sub").agg(F.collect_list("seed").alias("seeds")), "hits")
     ranks = _ranked(hits.select("did", "sub"))
+    discard(whole, seeds)
     release_shuffles(spark)
 
     # One text of each document: rows that repeat both doc_id and text are one.
     wanted = hits.join(ranks, ["did", "sub"])
     edges = cut(arrow_map(known.join(wanted, ["did", "sub"]).select("rank", "text", "seeds"), _edge_rows(k, seed), "edge long, at long"), "edges")
     release_shuffles(spark)
-    source = edges.groupBy("edge").agg(F.min("at").alias("source"), F.count(F.lit(1)).alias("n")).where("n > 1").select("edge", "source")
+    # Written before the join: a join of two plain exchanges lets AQE split an edge that occurs everywhere.
+    source = cut(edges.groupBy("edge").agg(F.min("at").alias("source"), F.count(F.lit(1)).alias("n")).where("n > 1").select("edge", "source"), "sources")
+    release_shuffles(spark)
     paths = cut(_path_table(edges.join(source, "edge").where("at > source")), "paths")
+    discard(hits, source)
     release_shuffles(spark)
 
     text = known.join(ranks, ["did", "sub"]).select("rank", "text")
@@ -241,7 +245,8 @@ def _repeated(keyed: DataFrame, k: int, seed: int) -> tuple[DataFrame, DataFrame
     good = checked.where("same").select("at", "source", "n")
     bad = checked.where("not same")
     if not bad.isEmpty():
-        good = good.unionByName(_by_digest(bad, edges, text, k))
+        good = good.unionByName(cut(_by_digest(bad, edges, text, k), "by-digest"))
+    discard(paths, digests, edges)
     release_shuffles(spark)
     return good, ranks, copies
 
