@@ -76,63 +76,57 @@ def _row(ch: Check) -> str:
 
 
 CTE["q_cohort_sizes"] = """
-    SELECT c.signup_week, c.cohort_size, u.n_users
-    FROM (SELECT DISTINCT signup_week, cohort_size FROM m_retention) c
-    LEFT JOIN (SELECT signup_week, count(*) AS n_users FROM m_dim_users GROUP BY 1) u ON c.signup_week = u.signup_week
-    WHERE c.cohort_size <> coalesce(u.n_users, 0)
+    SELECT signup_week, any_value(cohort_size) AS cohort_size,
+           nullif((SELECT count(*) FROM m_dim_users u WHERE u.signup_week = m.signup_week), 0) AS n_users
+    FROM m_retention m GROUP BY signup_week, m.cohort_size
+    HAVING m.cohort_size IS DISTINCT FROM (SELECT count(*) FROM m_dim_users u WHERE u.signup_week = m.signup_week)
 """
 CTE["q_conversation_cost"] = """
-    SELECT conversation_cost, request_cost, conversation_cost - request_cost AS delta_usd
-    FROM (SELECT sum(cost_usd) AS conversation_cost FROM m_fct_conversations) a,
-         (SELECT sum(cost_usd) AS request_cost FROM m_fct_llm_requests WHERE NOT is_orphan) b
-    WHERE abs(conversation_cost - request_cost) > 0.0001
+    SELECT sum(c) AS conversation_cost, sum(q) AS request_cost, sum(c) - sum(q) AS delta_usd
+    FROM (SELECT cost_usd AS c, NULL AS q FROM m_fct_conversations
+          UNION ALL SELECT NULL, cost_usd FROM m_fct_llm_requests WHERE conversation_id IS NOT NULL) both_sides
+    HAVING abs(sum(c) - sum(q)) > 0.0001
 """
 CTE["q_mismatch_slo"] = f"""
-    SELECT metric_date, n_requests, n_cost_mismatches, {r('n_cost_mismatches', 'n_requests')} AS mismatch_rate
-    FROM m_fct_daily
-    WHERE n_requests > 0 AND {r('n_cost_mismatches', 'n_requests')} > 0.02
+    SELECT metric_date, n_requests, n_cost_mismatches, share AS mismatch_rate
+    FROM (SELECT *, {r('n_cost_mismatches', 'n_requests')} AS share FROM m_fct_daily) d WHERE share > 0.02
 """
 CTE["q_daily_cost"] = """
-    SELECT coalesce(p.d, l.d) AS metric_date, p.product_cost, l.ledger_cost,
-           coalesce(p.product_cost, 0) - coalesce(l.ledger_cost, 0) AS delta_usd
-    FROM (SELECT metric_date AS d, total_cost_usd AS product_cost FROM m_fct_daily) p
-    FULL OUTER JOIN (SELECT request_date AS d, sum(total_cost_usd) AS ledger_cost
-                     FROM m_fct_daily_model_costs GROUP BY 1) l ON p.d = l.d
-    WHERE abs(coalesce(p.product_cost, 0) - coalesce(l.ledger_cost, 0)) > 0.0001
+    SELECT metric_date, sum(product) AS product_cost, sum(ledger) AS ledger_cost,
+           coalesce(sum(product), 0) - coalesce(sum(ledger), 0) AS delta_usd
+    FROM (SELECT metric_date, total_cost_usd AS product, NULL AS ledger FROM m_fct_daily
+          UNION ALL SELECT request_date, NULL, total_cost_usd FROM m_fct_daily_model_costs) both_sides
+    GROUP BY metric_date HAVING abs(coalesce(sum(product), 0) - coalesce(sum(ledger), 0)) > 0.0001
 """
 CTE["q_request_dates"] = """
-    SELECT q.request_date, count(*) AS n_requests
-    FROM m_fct_llm_requests q
-    WHERE NOT EXISTS (SELECT 1 FROM m_fct_daily d WHERE d.metric_date = q.request_date)
-    GROUP BY 1
+    SELECT request_date, count(*) AS n_requests FROM m_fct_llm_requests
+    WHERE request_date IN (SELECT request_date FROM m_fct_llm_requests EXCEPT SELECT metric_date FROM m_fct_daily) GROUP BY request_date
 """
 CTE["q_accuracy"] = f"""
-    SELECT a.acc AS daily_accuracy, b.acc AS intent_mart_accuracy
-    FROM (SELECT {r('sum(n_correct_predictions)', 'sum(n_reviewed_predictions)')} AS acc FROM m_fct_daily) a,
-         (SELECT {r('sum(n_correct_predictions)', 'sum(n_reviewed_predictions)')} AS acc FROM m_intent_quality) b
-    WHERE abs(a.acc - b.acc) > 0.0001
+    SELECT acc[1] AS daily_accuracy, acc[2] AS intent_mart_accuracy
+    FROM (SELECT [(SELECT {r('sum(n_correct_predictions)', 'sum(n_reviewed_predictions)')} FROM m_fct_daily),
+                  (SELECT {r('sum(n_correct_predictions)', 'sum(n_reviewed_predictions)')} FROM m_intent_quality)] AS acc) x
+    WHERE abs(acc[1] - acc[2]) > 0.0001
 """
 CTE["q_week0"] = """
-    SELECT m.signup_week, m.n_retained_users, w.n_week0_users
-    FROM (SELECT signup_week, n_retained_users FROM m_retention WHERE weeks_since_signup = 0) m
-    LEFT JOIN (
-        SELECT u.signup_week, count(DISTINCT u.user_id) AS n_week0_users
-        FROM m_dim_users u JOIN m_fct_conversations c ON u.user_id = c.user_id
-         AND c.conversation_date BETWEEN u.signup_date AND u.signup_date + INTERVAL 6 DAY
-        GROUP BY 1
-    ) w ON m.signup_week = w.signup_week
-    WHERE m.n_retained_users <> coalesce(w.n_week0_users, 0)
+    SELECT signup_week, n_retained_users, nullif(came, 0) AS n_week0_users
+    FROM (SELECT signup_week, n_retained_users,
+                 (SELECT count(*) FROM m_dim_users u WHERE u.signup_week = m.signup_week AND EXISTS (
+                      SELECT 1 FROM m_fct_conversations c
+                      WHERE c.user_id = u.user_id AND c.conversation_date - u.signup_date BETWEEN 0 AND 6)) AS came
+          FROM m_retention m WHERE weeks_since_signup = 0) w
+    WHERE n_retained_users <> came
 """
 CTE["q_incident"] = """
-    SELECT e.metric_name, 'incident day not flagged' AS problem
-    FROM (SELECT unnest(['error_rate', 'timeout_rate', 'p95_latency_ms']) AS metric_name) e
-    WHERE NOT EXISTS (SELECT 1 FROM m_anomalies a WHERE a.metric_name = e.metric_name
-                      AND a.metric_date = DATE '{incident}' AND a.is_actionable_anomaly)
-    UNION ALL
-    SELECT 'error_rate' AS metric_name, 'flagged on ' || cast(count(*) as varchar) || ' non-incident days' AS problem
-    FROM m_anomalies
-    WHERE metric_name = 'error_rate' AND is_anomaly AND metric_date <> DATE '{incident}'
-    HAVING count(*) > 1
+    SELECT metric_name, problem FROM (
+        SELECT metric_name, coalesce(count_if(is_actionable_anomaly AND metric_date = DATE '{incident}'), 0) AS hits,
+               coalesce(count_if(is_anomaly AND metric_date <> DATE '{incident}'), 0) AS others
+        FROM (SELECT metric_name, metric_date, is_anomaly, is_actionable_anomaly FROM m_anomalies
+              UNION ALL SELECT unnest(['error_rate', 'timeout_rate', 'p95_latency_ms']), NULL, NULL, NULL) a
+        WHERE metric_name IN ('error_rate', 'timeout_rate', 'p95_latency_ms') GROUP BY metric_name
+    ) m, LATERAL (SELECT unnest([if(hits = 0, 'no actionable flag on the incident date', NULL),
+                                 if(metric_name = 'error_rate' AND others > 1, others || ' flags outside the incident date', NULL)]) AS problem) p
+    WHERE problem IS NOT NULL
 """
 CTE["q_conflicting"] = """
     SELECT conversation_id, started_at, initial_intent, resolution_status

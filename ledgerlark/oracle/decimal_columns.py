@@ -36,6 +36,12 @@ DECIMAL_COLUMNS = {'check_conversation_cost_ledger': ['conversation_cost', 'requ
                               'wasted_cost_on_failures_usd',
                               'input_price_per_1k_tokens',
                               'output_price_per_1k_tokens'],
+ 'report_daily_model_costs_filtered': ['total_cost_usd',
+                                       'total_logged_cost_usd',
+                                       'cost_reconciliation_delta_usd',
+                                       'wasted_cost_on_failures_usd',
+                                       'input_price_per_1k_tokens',
+                                       'output_price_per_1k_tokens'],
  'report_data_quality_summary': ['calculated_cost', 'logged_cost'],
  'report_headline_tiles': ['llm_cost_usd'],
  'report_incident_blast_radius': ['cost_of_affected_conversations_usd'],
