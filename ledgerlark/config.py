@@ -16,18 +16,9 @@ class AnomalyParams:
     min_history_weeks: int = 3
 
 
-@dataclass(frozen=True)
-class CohortParams:
-    """K01 weekly cohort retention parameters."""
-
-    max_weeks: int = 52
-
-
 @dataclass(frozen=True)
 class WarehouseConfig:
     anomaly: AnomalyParams = field(default_factory=AnomalyParams)
-    cohort: CohortParams = field(default_factory=CohortParams)
-    exact_percentiles: bool = True
     incident_date: str = "2024-02-11"
     cost_mismatch_slo: float = 0.02
     freshness_warn_hours: int = 24

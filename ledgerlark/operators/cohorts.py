@@ -11,8 +11,8 @@ Plan shape:
   heavy user), then a *two-level* aggregate - (week, N, user) first, then
   (week, N) - instead of ``count(distinct user)`` next to other aggregates,
   which would Expand every row;
-* spine: ``explode(sequence(0, max_weeks))`` per cohort, filtered by the window
-  end - no driver round trip, at most 53 rows per cohort.
+* spine: ``explode(sequence(0, weeks to the window end))`` per cohort - no driver
+  round trip and no fixed last week: a longer window has a longer spine.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.config import CohortParams
 from ledgerlark.functions.exprs import count_where, ratio
 
 
@@ -39,19 +38,17 @@ def cohort_users(users: DataFrame, bounds: DataFrame) -> DataFrame:
     ).select("user_id", "signup_date", "signup_week")
 
 
-def weekly_cohort_retention(users: DataFrame, conversations: DataFrame,
-                            params: CohortParams | None = None) -> DataFrame:
-    p = params or CohortParams()
+def weekly_cohort_retention(users: DataFrame, conversations: DataFrame) -> DataFrame:
     bounds = window_bounds(conversations)
     members = cohort_users(users, bounds)
 
     cohorts = members.groupBy("signup_week").agg(
         F.count(F.lit(1)).alias("cohort_size"), F.max("signup_date").alias("last_signup_date")
     )
+    weeks_to_end = F.floor(F.datediff("window_end", "signup_week") / F.lit(7)).cast("int")
     spine = (
         cohorts.crossJoin(F.broadcast(bounds))
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(p.max_weeks))).alias("weeks_since_signup"))
-        .where(F.date_add("signup_week", F.col("weeks_since_signup") * 7) <= F.col("window_end"))
+        .select("*", F.explode(F.sequence(F.lit(0), weeks_to_end)).alias("weeks_since_signup"))
     )
 
     conv = conversations.select("user_id", "conversation_date", "is_escalated")

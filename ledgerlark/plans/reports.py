@@ -25,7 +25,6 @@ REASON_DISPLAY_ORDER = ["policy_requires_human", "unresolved_after_retry", "user
 QUALITY_FLAGS = ["orphan_no_conversation", "negative_latency", "token_sum_mismatch", "model_alias_mapped",
                  "duplicate_ingest_deduped", "late_arriving", "cost_not_reconciled"]
 TOP_INTENTS = 8
-MAX_COHORT_WEEKS = 52
 AVG_SCALE = 6
 # ---------------------------------------------------------------------------
 
@@ -54,14 +53,18 @@ def _domain(spark, values: list[str], name: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"{name} string, ord int"))
 
 
+def _full_days(daily: DataFrame, f: ReportFilter) -> DataFrame:
+    return daily.where(~F.col("is_partial_day") & _in_range("metric_date", f))
+
+
 def kpi_series(daily: DataFrame, f: ReportFilter = ReportFilter()) -> DataFrame:
     """R01 - full days of the daily KPI mart inside the range, ordered by date."""
-    return daily.where(~F.col("is_partial_day") & _in_range("metric_date", f)).orderBy("metric_date")
+    return _full_days(daily, f).orderBy("metric_date")
 
 
 def headline_tiles(daily: DataFrame, f: ReportFilter = ReportFilter()) -> DataFrame:
     """R02 - one row of headline numbers; ratios of sums, CSAT weighted by n_rated."""
-    d = kpi_series(daily, f)
+    d = _full_days(daily, f)
     weighted = F.round(F.sum(F.col("avg_satisfaction_score") * F.col("n_rated")), AVG_SCALE)
     return d.agg(
         F.sum("n_conversations").alias("conversations"),
@@ -130,13 +133,15 @@ def metrics_flagged_per_day(anom: DataFrame, f: ReportFilter = ReportFilter()) -
         F.countDistinct("metric_name").alias("n_metrics_flagged"))
 
 
-def cohort_grid(ret: DataFrame, max_weeks: int = MAX_COHORT_WEEKS) -> DataFrame:
+def cohort_grid(ret: DataFrame) -> DataFrame:
     """R10 - fully observable cells pivoted to W0..Wn, one row per cohort with its label.
 
-    The pivot domain is the fixed week range, so Spark needs no extra pass to
-    discover the pivot values.
+    The last column is the largest observed week, one number read from the
+    (catalogue-sized) mart, so no week is left out however long the window is.
     """
     obs = ret.where(F.col("is_fully_observable"))
+    max_weeks = obs.agg(F.max("weeks_since_signup")).first()[0]
+    max_weeks = -1 if max_weeks is None else int(max_weeks)
     grid = obs.groupBy("signup_week", "cohort_size").pivot("weeks_since_signup", list(range(max_weeks + 1))).agg(
         F.first("retention_rate"))
     label = F.concat(F.date_format("signup_week", "MMM dd"), F.lit("  (n="), F.col("cohort_size").cast("string"),

@@ -26,3 +26,19 @@ def test_weekly_retention(spark):
     assert w2.n_retained_users == 1
     assert w0.week_fully_elapsed_on == D(2024, 1, 9) and w0.is_fully_observable
     assert w2.week_fully_elapsed_on == D(2024, 1, 23) and not w2.is_fully_observable
+
+
+def test_no_week_is_left_out_of_a_long_window(spark):
+    """A user active in each of 60 weeks: 60 rows, every conversation counted, the grid has W59."""
+    from ledgerlark.plans.reports import cohort_grid
+
+    start = D(2023, 1, 2)
+    users = spark.createDataFrame([("u1", start, start)], "user_id string, signup_date date, signup_week date")
+    days = [start + dt.timedelta(days=7 * w) for w in range(60)] + [start + dt.timedelta(days=7 * 60 + 6)]
+    conv = spark.createDataFrame([("u1", d, False) for d in days], "user_id string, conversation_date date, is_escalated boolean")
+    out = weekly_cohort_retention(users, conv)
+    rows = out.collect()
+    assert len(rows) == 61 and sum(r.n_conversations for r in rows) == 61
+    grid = cohort_grid(out)
+    assert grid.columns[-1] == "W60" and grid.first()["W59"] == 1.0
+    assert cohort_grid(out.where("false")).columns == ["signup_week", "cohort_label"]
