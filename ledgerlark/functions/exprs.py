@@ -83,14 +83,6 @@ def round_half_up_int(c: str | Column) -> Column:
     return F.round(col(c), 0).cast("int")
 
 
-def money(c: str | Column) -> Column:
-    return col(c).cast("decimal(12,6)")
-
-
-def to_double(c: str | Column) -> Column:
-    return col(c).cast("double")
-
-
 def count_where(pred: Column) -> Column:
     """``count(*) filter (where pred)`` - NULL predicates do not count."""
     return F.count_if(pred)

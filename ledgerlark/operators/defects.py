@@ -112,7 +112,9 @@ def inject_conversation_defects(conversations: DataFrame, seed: int = DEFAULT_SE
     name, rate = CONFLICT_ISSUE
     esc = F.col("escalated") == "True"
     counts = conversations.agg(F.count(F.lit(1)).alias("_n"), F.count_if(esc).alias("_n_esc"))
-    threshold = F.floor(F.lit(rate) * F.col("_n") / F.col("_n_esc") * F.lit(float(UNIT))).cast("long")
+    # Nobody escalated: no conversation can be marked, the threshold is 0.
+    share = F.coalesce(F.try_divide(F.lit(rate) * F.col("_n"), F.col("_n_esc")), F.lit(0.0))
+    threshold = F.floor(share * F.lit(float(UNIT))).cast("long")
     c = conversations.crossJoin(F.broadcast(counts.select(threshold.alias("_t"))))
     hit = esc & (draw(seed, F.col("conversation_id")) < F.col("_t"))
     c = c.select("*", hit.alias("_hit"))

@@ -5,8 +5,8 @@ Physical choices (SURVEY §4):
 * ``int_model_costs`` (M07) keeps one row per request and carries the staging
   columns, so every downstream consumer reads one "priced requests" dataset
   instead of re-joining requests to their own cost view on request_id (J05).
-* The price sheet is a (days x models) dimension; it is joined with a
-  broadcast hash join when its size is within the broadcast budget.
+* The price sheet is joined without a hint: the planner broadcasts it while its
+  known size is small and sort-merges beyond, AQE decides again at run time.
 * Conversation-grain results are all hash-partitioned on conversation_id, so
   the joins that assemble the conversation facts reuse one partitioning.
 """
@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.exprs import count_where, ratio
-from ledgerlark.plans.sizing import broadcast_if_small
 
 COST_TOLERANCE_REL = "0.005"
 COST_TOLERANCE_ABS = "0.00001"
@@ -29,33 +28,26 @@ def calculated_cost(prompt_tokens, completion_tokens, input_price, output_price)
     return (raw * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(12,6)")
 
 
-def price_of_day(requests: DataFrame, prices: DataFrame, price_rows_bound: int | None = None) -> DataFrame:
-    """X04 - attach the price sheet row valid on each request's date (exact (model, date) key).
-
-    The sheet is a (days x models) dimension: broadcast when its proven row bound
-    fits the budget, otherwise left to the planner (sort-merge beyond the budget).
-    """
-    p = broadcast_if_small(
-        prices.select(
-            F.col("model_name").alias("_p_model"),
-            F.col("price_date").alias("_p_date"),
-            "input_price_per_1k_tokens",
-            "output_price_per_1k_tokens",
-        ),
-        price_rows_bound,
+def price_of_day(requests: DataFrame, prices: DataFrame) -> DataFrame:
+    """X04 - attach the price sheet row valid on each request's date (exact (model, date) key)."""
+    p = prices.select(
+        F.col("model_name").alias("_p_model"),
+        F.col("price_date").alias("_p_date"),
+        "input_price_per_1k_tokens",
+        "output_price_per_1k_tokens",
     )
     return requests.join(
         p, (requests.model_name == p._p_model) & (requests.request_date == p._p_date), "left"
     ).drop("_p_model", "_p_date")
 
 
-def int_model_costs(requests: DataFrame, prices: DataFrame, price_rows_bound: int | None = None) -> DataFrame:
+def int_model_costs(requests: DataFrame, prices: DataFrame) -> DataFrame:
     """M07 - request-grain cost recomputation and reconciliation.
 
     Returns the full staging row plus price, recomputed cost and reconciliation
     columns.  ``model_costs_view`` projects the published M07 contract.
     """
-    j = price_of_day(requests, prices, price_rows_bound)
+    j = price_of_day(requests, prices)
     calc = calculated_cost(
         F.col("prompt_tokens"), F.col("completion_tokens"),
         F.col("input_price_per_1k_tokens"), F.col("output_price_per_1k_tokens"),
@@ -184,6 +176,7 @@ REQUEST_SIDE = [
     "cost_usd", "logged_cost_usd", "n_cost_mismatches", "n_latency_samples", "latency_ms_sum",
 ]
 PERCENTILES = ["p50_latency_ms", "p95_latency_ms", "p99_latency_ms"]
+PERCENTILE_POINTS = [0.5, 0.95, 0.99]
 PERCENTILE_SCALE = 6
 
 
@@ -220,20 +213,16 @@ def conversation_day_components(conv_facts: DataFrame, date_col: str = "conversa
     )
 
 
-def request_day_components(priced: DataFrame, date_col: str = "request_date", exact_percentiles: bool = True) -> DataFrame:
-    """Additive request-side components plus latency percentiles by ``date_col``.
+def request_day_components(priced: DataFrame, date_col: str = "request_date") -> DataFrame:
+    """Additive request-side components plus exact latency percentiles by ``date_col``.
 
-    Exact percentiles keep a value->count map per group; latency is a bounded
-    integer, so the map stays small even when one day holds most rows.  Pass
-    ``exact_percentiles=False`` for the approximate sketch at very large scale.
+    Two hash aggregates: per (day, latency value) first, where a hot day is spread
+    over its values and combined map-side, then per day over that small table, the
+    percentiles with the value counts as frequencies.
     """
     st = F.col("status")
     lat = F.col("latency_ms")
-    pcts = (
-        F.percentile(lat, [0.5, 0.95, 0.99]) if exact_percentiles
-        else F.percentile_approx(lat, [0.5, 0.95, 0.99], 10000).cast("array<double>")
-    )
-    return priced.groupBy(F.col(date_col).alias("metric_date")).agg(
+    values = priced.groupBy(F.col(date_col).alias("metric_date"), "latency_ms").agg(
         F.count(F.lit(1)).alias("n_requests"),
         count_where(F.col("is_success")).alias("n_successful_requests"),
         count_where(F.col("is_failed")).alias("n_failed_requests"),
@@ -249,7 +238,10 @@ def request_day_components(priced: DataFrame, date_col: str = "request_date", ex
         count_where(~F.col("is_cost_reconciled")).alias("n_cost_mismatches"),
         F.count(lat).alias("n_latency_samples"),
         F.sum(lat).alias("latency_ms_sum"),
-        pcts.alias("_pct"),
+    )
+    return values.groupBy("metric_date").agg(
+        *[F.sum(c).alias(c) for c in REQUEST_SIDE],
+        F.percentile(lat, PERCENTILE_POINTS, F.col("n_latency_samples")).alias("_pct"),
     ).select(
         "*", *[percentile_value(F.col("_pct")[i]).alias(name) for i, name in enumerate(PERCENTILES)]
     ).drop("_pct")
@@ -268,12 +260,11 @@ def calendar(conversations: DataFrame, requests: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("metric_date"))
 
 
-def int_daily_product_metrics(conv_facts: DataFrame, priced: DataFrame, conversations: DataFrame,
-                              exact_percentiles: bool = True) -> DataFrame:
+def int_daily_product_metrics(conv_facts: DataFrame, priced: DataFrame, conversations: DataFrame) -> DataFrame:
     """M10 - one row per calendar day of additive components (zero filled)."""
     cal = calendar(conversations, priced)
     cs = conversation_day_components(conv_facts)
-    rs = request_day_components(priced, exact_percentiles=exact_percentiles)
+    rs = request_day_components(priced)
     j = cal.join(cs, "metric_date", "left").join(rs, "metric_date", "left")
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in CONVERSATION_SIDE + REQUEST_SIDE}
     out = j.select("metric_date", *[zero[c].alias(c) for c in CONVERSATION_SIDE + REQUEST_SIDE], *PERCENTILES)

@@ -58,8 +58,8 @@ def daily_cost_reconciles(daily: DataFrame, model_costs: DataFrame) -> DataFrame
 def every_request_date_has_daily_row(fct_req: DataFrame, daily: DataFrame) -> DataFrame:
     """Q14 - request dates missing from the daily KPI mart."""
     days = daily.select(F.col("metric_date").alias("request_date"))
-    return fct_req.join(days, "request_date", "left_anti").groupBy("request_date").agg(
-        F.count(F.lit(1)).alias("n_requests"))
+    per_date = fct_req.groupBy("request_date").agg(F.count(F.lit(1)).alias("n_requests"))
+    return per_date.join(days, "request_date", "left_anti")
 
 
 def intent_accuracy_consistent(daily: DataFrame, intent_quality: DataFrame) -> DataFrame:
@@ -92,12 +92,12 @@ def anomaly_detector_flags_incident(anomalies: DataFrame, incident_date: str) ->
     hits = anomalies.where((F.col("metric_date") == F.lit(incident_date).cast("date"))
                            & F.col("is_actionable_anomaly")).select("metric_name")
     missed = expected.join(hits, "metric_name", "left_anti").select(
-        "metric_name", F.lit("incident day not flagged").alias("problem"))
+        "metric_name", F.lit("no actionable flag on the incident date").alias("problem"))
     others = anomalies.where((F.col("metric_name") == "error_rate") & F.col("is_anomaly")
                              & (F.col("metric_date") != F.lit(incident_date).cast("date")))
     noisy = others.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(
         F.lit("error_rate").alias("metric_name"),
-        F.concat(F.lit("flagged on "), F.col("n").cast("string"), F.lit(" non-incident days")).alias("problem"))
+        F.concat(F.col("n").cast("string"), F.lit(" flags outside the incident date")).alias("problem"))
     return missed.unionByName(noisy)
 
 
@@ -166,15 +166,23 @@ def sql_check_results(frames: dict[str, DataFrame]) -> DataFrame:
     return with_status(reduce(DataFrame.unionByName, parts))
 
 
-def source_freshness(feeds_loaded_at: dict[str, DataFrame], as_of: str, warn_hours: int = 24,
+def source_freshness(feeds_loaded_at: dict[str, DataFrame], as_of: str | DataFrame, warn_hours: int = 24,
                      error_hours: int = 72) -> DataFrame:
-    """S10 - age of the newest ``_loaded_at`` per landing table vs warn/error thresholds."""
+    """S10 - age of the newest ``_loaded_at`` per landing table vs warn/error thresholds.
+
+    ``as_of``: a timestamp as text, or a one-row frame with the column ``as_of``.
+    An empty table has no newest load and is an error.
+    """
     parts = [
         df.agg(F.max("_loaded_at").alias("max_loaded_at")).select(F.lit(name).alias("table_name"), "max_loaded_at")
         for name, df in feeds_loaded_at.items()
     ]
     out = reduce(DataFrame.unionByName, parts)
-    age_h = (F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp("max_loaded_at")) / F.lit(3600.0)
+    if isinstance(as_of, DataFrame):
+        out = out.crossJoin(F.broadcast(as_of.select("as_of")))   # one row
+    else:
+        out = out.withColumn("as_of", F.lit(as_of).cast("timestamp"))
+    age_h = (F.unix_timestamp("as_of") - F.unix_timestamp("max_loaded_at")) / F.lit(3600.0)
     return out.select(
         "table_name", "max_loaded_at", age_h.alias("age_hours"),
         F.when(F.col("max_loaded_at").isNull() | (age_h > error_hours), "error")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.exprs import count_where, days_between, full_day_name, ratio, sum_where, week_start
-from ledgerlark.operators.intermediate import percentile_value
+from ledgerlark.operators.intermediate import PERCENTILE_POINTS, percentile_value
 
 DOUBLE_AVG_SCALE = 6
 
@@ -175,6 +175,13 @@ def fct_llm_requests(priced: DataFrame, conversations: DataFrame, model_catalog:
     )
 
 
+def requests_with_tier(priced: DataFrame, model_catalog: DataFrame) -> DataFrame:
+    """The M16 columns that the per-model day marts read: requests, costs and tier, no conversation."""
+    m = F.broadcast(model_catalog.select("model_name", "model_tier"))  # fixed seed
+    return priced.withColumnsRenamed(
+        {"calculated_cost_usd": "cost_usd", "recorded_cost_usd": "logged_cost_usd"}).join(m, "model_name", "left")
+
+
 def daily_ratios(d: DataFrame) -> dict[str, F.Column]:
     """The KPI ratios of M17, from additive components (shared with X03 roll-ups)."""
     c = F.col
@@ -322,12 +329,17 @@ def mart_intent_quality(fct_conv: DataFrame, dim_intent: DataFrame) -> DataFrame
 
 
 def mart_model_reliability_daily(requests: DataFrame) -> DataFrame:
-    """M21 - reliability per (day, provider, model, tier); percentiles skip NULL latency."""
+    """M21 - reliability per (day, provider, model, tier); percentiles skip NULL latency.
+
+    Counted per latency value first (hash aggregate, combined map-side), then per
+    group with the counts as percentile frequencies: exact, and no task holds the
+    requests of a group.
+    """
     c = F.col
     st, et, lat = c("status"), c("error_type"), c("latency_ms")
-    n = F.count(F.lit(1))
-    g = requests.groupBy("request_date", "model_provider", "model_name", "model_tier").agg(
-        n.alias("n_requests"),
+    keys = ["request_date", "model_provider", "model_name", "model_tier"]
+    values = requests.groupBy(*keys, "latency_ms").agg(
+        F.count(F.lit(1)).alias("n_requests"),
         count_where(c("is_failed")).alias("n_failed_requests"),
         count_where(st == "error").alias("n_error_requests"),
         count_where(st == "timeout").alias("n_timeout_requests"),
@@ -336,16 +348,25 @@ def mart_model_reliability_daily(requests: DataFrame) -> DataFrame:
         count_where(et == "content_filter").alias("n_content_filter"),
         count_where(et == "context_length").alias("n_context_length"),
         count_where(et == "invalid_request").alias("n_invalid_request"),
-        ratio(count_where(c("is_failed")), n).alias("error_rate"),
-        ratio(count_where(st == "timeout"), n).alias("timeout_rate"),
         F.count(lat).alias("n_latency_samples"),
-        F.avg(lat.cast("double")).alias("avg_latency_ms"),
-        F.percentile(lat, [0.5, 0.95, 0.99]).alias("_p"),
-        F.percentile(F.when(c("is_success"), lat), 0.95).alias("p95_success_latency_ms"),
-        F.avg(F.when(c("is_success"), c("completion_tokens")).cast("double")).alias("avg_completion_tokens"),
+        count_where(c("is_success") & lat.isNotNull()).alias("_n_success"),
+        F.sum(lat).alias("_latency_sum"),
+        sum_where(c("is_success"), "completion_tokens").alias("_tokens"),
+        count_where(c("is_success") & c("completion_tokens").isNotNull()).alias("_n_tokens"),
         F.sum("cost_usd").alias("total_cost_usd"),
         count_where(c("has_invalid_latency")).alias("n_invalid_latency_rows"),
     )
+    additive = [x for x in values.columns if x not in keys and x != "latency_ms"]
+    g = values.groupBy(*keys).agg(
+        *[F.sum(x).alias(x) for x in additive],
+        F.percentile(lat, PERCENTILE_POINTS, c("n_latency_samples")).alias("_p"),
+        F.percentile(lat, F.lit(0.95), c("_n_success")).alias("p95_success_latency_ms"),
+    ).withColumns({
+        "error_rate": ratio("n_failed_requests", "n_requests"),
+        "timeout_rate": ratio("n_timeout_requests", "n_requests"),
+        "avg_latency_ms": ratio("_latency_sum", "n_latency_samples"),
+        "avg_completion_tokens": ratio("_tokens", "_n_tokens"),
+    })
     return g.select(
         "request_date", "model_provider", "model_name", "model_tier", "n_requests", "n_failed_requests",
         "n_error_requests", "n_timeout_requests", "n_rate_limited_requests", "n_provider_5xx",

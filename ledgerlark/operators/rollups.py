@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.intermediate import CONVERSATION_SIDE, PERCENTILES, REQUEST_SIDE, percentile_value
+from ledgerlark.operators.intermediate import CONVERSATION_SIDE, PERCENTILE_POINTS, PERCENTILES, REQUEST_SIDE, percentile_value
 from ledgerlark.operators.marts import daily_ratios
 
 ADDITIVE = [c for c in CONVERSATION_SIDE + REQUEST_SIDE if c != "n_active_users"]
@@ -37,8 +37,9 @@ def rollup_kpis(daily: DataFrame, conversations: DataFrame, priced: DataFrame, u
         F.count(F.lit(1)).alias("n_days"), *[F.sum(c).alias(c) for c in ADDITIVE])
     users = conversations.groupBy(period_start("conversation_date", unit).alias("period_start")).agg(
         F.countDistinct("user_id").alias("n_active_users"))
-    pct = priced.groupBy(period_start("request_date", unit).alias("period_start")).agg(
-        F.percentile("latency_ms", [0.5, 0.95, 0.99]).alias("_p"))
+    values = priced.groupBy(period_start("request_date", unit).alias("period_start"), "latency_ms").agg(
+        F.count("latency_ms").alias("_n"))
+    pct = values.groupBy("period_start").agg(F.percentile("latency_ms", PERCENTILE_POINTS, F.col("_n")).alias("_p"))
     j = comps.join(users, "period_start", "left").join(pct, "period_start", "left")
     r = daily_ratios(j)
     return j.select(

@@ -89,8 +89,3 @@ def model_catalog(spark: SparkSession) -> DataFrame:
 
 def model_aliases(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(MODEL_ALIASES, MODEL_ALIASES_SCHEMA)
-
-
-def domain(spark: SparkSession, values: list[str], name: str) -> DataFrame:
-    """One-column DataFrame of a fixed domain with its display order ``ord``."""
-    return spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"{name} string, ord int")
