@@ -31,11 +31,14 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a scratch folder created.
+    Only a local session that names none (tests) gets a scratch folder; on a cluster
+    executors would each write their own disk, so there it is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         # ``spark.checkpoint.dir`` is a core setting that cannot be changed on a
         # running session; the context's checkpoint folder can.
         d = tempfile.mkdtemp(prefix="ledgerlark-ckpt-")

@@ -1,9 +1,12 @@
 """Landing zone (S01-S05, S10 input): raw text feeds in, nothing inferred.
 
-Every feed column is declared ``StringType`` - types are assigned in staging,
-never guessed by a CSV sniffer - and each landed row is stamped with the load
-time ``_loaded_at``.  ``write_feeds`` / ``read_feeds`` give the CSV round trip a
-real deployment has (an upstream extract lands files; the warehouse reads them).
+An upstream extract is a folder of CSV files per feed.  ``land_feeds`` reads it
+strictly (the header must name the declared columns in order, quotes are doubled,
+a row with too few or too many fields stops the load), stamps every row with the
+load time and writes the landed tables; ``read_feeds`` reads those.  The stamp is
+stored, so the age of a table is the age of its load, not of the query.
+
+Every feed column is declared ``StringType`` - types are assigned in staging.
 """
 
 from __future__ import annotations
@@ -36,26 +39,57 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_landing(spark: SparkSession, path: str, name: str, stamp: bool = True) -> DataFrame:
-    """S01 - CSV with header, every column text, stamped with the load time."""
-    df = spark.read.schema(text_schema(FEED_COLUMNS[name])).option("header", True).csv(path)
-    return df.withColumn("_loaded_at", F.current_timestamp()) if stamp else df
+#: Strict CSV: the header is checked, quotes are doubled inside quotes, blanks are kept, bad rows stop the read.
+CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "quote": '"', "escape": '"', "mode": "FAILFAST",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "multiLine": "true", "columnPruning": "false"}
 
 
-def read_feeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """S02 - the six landing tables of a landing folder (``root/<feed>/``)."""
-    return {name: read_landing(spark, f"{root}/{name}", name) for name in FEED_COLUMNS}
+def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """All-text CSV with a checked header.
+
+    Column pruning is off for the parser to see whole rows: a row with too few or
+    too many fields stops the read even if a query needs none of its columns.
+    """
+    return spark.read.schema(text_schema(columns)).options(**CSV_OPTIONS).csv(path)
+
+
+def read_landing(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """S01 - one CSV extract, every column text."""
+    return read_csv(spark, path, FEED_COLUMNS[name])
 
 
 def write_feeds(feeds: dict[str, DataFrame], root: str) -> None:
-    """Land feeds as header CSV files, one folder per feed (overwrite = idempotent)."""
+    """Write feeds as CSV extracts, one folder per feed (overwrite = idempotent); blanks and quotes survive."""
     for name, df in feeds.items():
-        df.select(*FEED_COLUMNS[name]).write.mode("overwrite").option("header", True).csv(f"{root}/{name}")
+        write_csv(df.select(*FEED_COLUMNS[name]), f"{root}/{name}")
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def land_feeds(spark: SparkSession, extracts: str, root: str, loaded_at: str | None = None) -> None:
+    """S01/S02 - load the six extracts into landed tables stamped with the load time (full refresh)."""
+    stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
+    for name in FEED_COLUMNS:
+        df = read_landing(spark, f"{extracts}/{name}", name).withColumn("_loaded_at", stamp)
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+
+
+def read_feeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """S02 - the six landed tables of a landing folder (``root/<feed>/``), with their load times."""
+    return {name: spark.read.parquet(f"{root}/{name}").select(*FEED_COLUMNS[name], "_loaded_at") for name in FEED_COLUMNS}
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """S03 - land the ground-truth manifest of injected defects (no load stamp)."""
+    write_csv(manifest.select(*MANIFEST_COLUMNS), path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """S03 - ground-truth manifest of injected defects (no load stamp)."""
-    return spark.read.schema(text_schema(MANIFEST_COLUMNS)).option("header", True).csv(path)
+    """S03 - the landed manifest."""
+    return read_csv(spark, path, MANIFEST_COLUMNS)
 
 
 def landing_counts(feeds: dict[str, DataFrame]) -> DataFrame:
@@ -63,14 +97,3 @@ def landing_counts(feeds: dict[str, DataFrame]) -> DataFrame:
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(f"raw_{n}").alias("table_name"), "n_rows")
              for n, df in feeds.items()]
     return reduce(DataFrame.unionByName, parts)
-
-
-def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """S05 - a seed CSV with its declared schema (no inference)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
-
-
-def with_load_stamp(feeds: dict[str, DataFrame], loaded_at: str) -> dict[str, DataFrame]:
-    """Attach a fixed ``_loaded_at`` (feeds that did not come through CSV landing)."""
-    ts = F.lit(loaded_at).cast("timestamp")
-    return {n: df.withColumn("_loaded_at", ts) for n, df in feeds.items()}

@@ -1,73 +1,65 @@
 """X07 - incremental request staging with Structured Streaming.
 
-Request extracts keep landing as CSV files.  A file-source stream picks them up
-and ``foreachBatch`` merges each micro-batch into a *state table*: deduplicated,
-typed request rows plus their copy count, partitioned by ``request_date``.
-
-Why this is exact: every copy of a request (a replay) carries the same
-``created_at``, hence the same ``request_date``, so all copies meet in one date
-partition no matter how late they arrive.  A micro-batch only rewrites the date
-partitions it touches (dynamic partition overwrite): it reads those partitions,
-unions the new rows, re-runs the keep-earliest dedupe (copy counts are summed),
-cuts the lineage with ``checkpoint()`` into the shared checkpoint folder (the
-write must not read the files it is replacing), and overwrites them.  No
-streaming state store is needed, and ``dropDuplicatesWithinWatermark`` - which
-keeps the first *arrived* copy, not the earliest *ingested* - is not used.
-
-``staged_requests`` turns the state table into M03 rows (flags, buckets, alias
-mapping), identical to batch staging over all files seen so far.
+Request extracts keep landing as CSV files.  A file-source stream picks them up and
+``foreachBatch`` appends each micro-batch, typed and deduplicated within itself, to
+a state table with one folder per batch id: the earliest copy of every request of
+the batch with the number of copies seen.
+
+* *Exact.*  ``staged_requests`` runs the same keep-earliest aggregate over the state,
+  summing copy counts.  Minimum and sum do not care how copies were split, so the
+  result equals batch staging wherever and whenever a replay arrives: on another
+  date, in a later batch, or without any date.
+* *Retry-safe.*  ``foreachBatch`` may run a batch again; a batch overwrites the folder
+  of its own id, so nothing counts twice.
+* *Cheap merges.*  A micro-batch reads no state and writes its own rows only.
+  ``compact`` folds the batches so far into one when there are many.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ledgerlark.operators.staging import dedupe_requests, finish_requests, typed_requests
-from ledgerlark.session import checkpoint_dir
-from ledgerlark.sources.landing import FEED_COLUMNS, text_schema
-
-
-def _read_state(spark: SparkSession, state_path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(state_path)
-    except AnalysisException:
-        return None
-
-
-def merge_batch(batch: DataFrame, state_path: str) -> None:
-    """Merge one micro-batch of raw request rows into the date-partitioned state table."""
-    spark = batch.sparkSession
-    new = typed_requests(batch).withColumn("ingest_copies", F.lit(1).cast("long"))
-    new = new.withColumn("request_date", F.col("created_at").cast("date"))
-    state = _read_state(spark, state_path)
-    if state is not None:
-        touched = new.select("request_date").distinct()
-        old = state.join(touched, "request_date", "left_semi").select(*new.columns)
-        new = old.unionByName(new)
-    merged = dedupe_requests(new.drop("request_date"))
-    merged = merged.withColumn("request_date", F.col("created_at").cast("date"))
-    checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("request_date").parquet(state_path))
+from ledgerlark.sources.landing import CSV_OPTIONS, FEED_COLUMNS, text_schema
+
+
+def merge_batch(batch: DataFrame, state_path: str, batch_id: int) -> None:
+    """Write one micro-batch of raw request rows as the folder of its id."""
+    new = dedupe_requests(typed_requests(batch))
+    new.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+
+
+def read_state(spark: SparkSession, state_path: str) -> DataFrame:
+    """Deduplicated typed requests over all batches, with their copy counts."""
+    return dedupe_requests(spark.read.parquet(state_path).drop("batch"))
+
+
+def compact(spark: SparkSession, state_path: str, target_path: str) -> None:
+    """Fold all batches into one state at ``target_path`` (for a stream that then goes on there)."""
+    read_state(spark, state_path).write.mode("overwrite").parquet(f"{target_path}/batch=-1")
 
 
 def start_incremental_staging(spark: SparkSession, landing_dir: str, state_path: str, stream_checkpoint: str,
-                              available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the stream (file source -> foreachBatch merge); returns the StreamingQuery."""
-    reader = spark.readStream.schema(text_schema(FEED_COLUMNS["llm_requests"])).option("header", True)
+                              available_now: bool = True, max_files_per_trigger: int | None = None,
+                              attempts: int = 1):
+    """Start the stream (file source -> foreachBatch append); returns the StreamingQuery.
+
+    ``attempts`` above 1 merges every batch that often, as a failing sink would.
+    """
+    reader = spark.readStream.schema(text_schema(FEED_COLUMNS["llm_requests"])).options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(landing_dir)
-    writer = (stream.writeStream.foreachBatch(lambda df, _epoch: merge_batch(df, state_path))
-              .option("checkpointLocation", stream_checkpoint))
+
+    def merge(df: DataFrame, batch_id: int) -> None:
+        for _ in range(attempts):
+            merge_batch(df, state_path, batch_id)
+
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", stream_checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
 def staged_requests(spark: SparkSession, state_path: str, aliases: DataFrame) -> DataFrame:
-    """M03 rows from the incremental state table."""
-    state = spark.read.parquet(state_path)
-    return finish_requests(state.drop("request_date"), aliases)
+    """M03 rows from the incremental state."""
+    return finish_requests(read_state(spark, state_path), aliases)

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from ledgerlark.operators.staging import stg_llm_requests
 from ledgerlark.sources import seeds
 from ledgerlark.sources.feeds import derive_feeds
-from ledgerlark.streaming.incremental import staged_requests, start_incremental_staging
+from ledgerlark.sources.landing import write_csv
+from ledgerlark.streaming.incremental import compact, merge_batch, staged_requests, start_incremental_staging
 
 
 def test_incremental_equals_batch(spark, tmp_path):
@@ -15,8 +16,8 @@ def test_incremental_equals_batch(spark, tmp_path):
     b1 = raw.join(first, ["request_id", "_ingested_at"], "left_semi")
     b2 = raw.join(first, ["request_id", "_ingested_at"], "left_anti")
     b1, b2 = b1.select(*raw.columns), b2.select(*raw.columns)
-    b1.coalesce(2).write.option("header", True).csv(f"{landing}/part1")
-    b2.coalesce(1).write.option("header", True).csv(f"{landing}/part2")
+    write_csv(b1.coalesce(2), f"{landing}/part1")
+    write_csv(b2.coalesce(1), f"{landing}/part2")
     state = str(tmp_path / "state")
     q = start_incremental_staging(spark, f"{landing}/*", state, str(tmp_path / "ckpt"), max_files_per_trigger=1)
     q.awaitTermination(600)
@@ -27,3 +28,22 @@ def test_incremental_equals_batch(spark, tmp_path):
     cols = batch.columns
     assert inc.select(*cols).exceptAll(batch.select(*cols)).count() == 0
     assert inc.where("had_duplicate_ingest").count() == 8
+
+
+def test_null_dates_replays_on_other_dates_and_retries(spark, tmp_path):
+    raw = derive_feeds(spark, "/root/testdata/sf0.001")["llm_requests"].limit(40).cache()
+    ids = [r.request_id for r in raw.select("request_id").distinct().orderBy("request_id").limit(4).collect()]
+    no_date = raw.withColumn("created_at", F.when(F.col("request_id").isin(ids[:2]), F.lit("")).otherwise(F.col("created_at")))
+    replay = no_date.where(F.col("request_id").isin(ids[1:])).withColumn("created_at", F.lit("2024-02-01 00:00:00")).withColumn(
+        "_ingested_at", F.lit("2024-02-02 00:00:00"))
+    state, aliases = str(tmp_path / "state"), seeds.model_aliases(spark)
+    for batch_id, batch in enumerate((no_date, replay, replay.limit(0))):
+        merge_batch(batch, state, batch_id)
+    merge_batch(replay, state, 1)   # the sink failed and runs again
+    expected = stg_llm_requests(no_date.unionByName(replay), aliases)
+    got = staged_requests(spark, state, aliases).select(*expected.columns)
+    assert got.count() == expected.count() == got.select("request_id").distinct().count()
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    assert got.where("request_date is null").count() >= 1
+    compact(spark, state, str(tmp_path / "compact"))
+    assert staged_requests(spark, str(tmp_path / "compact"), aliases).select(*expected.columns).exceptAll(expected).count() == 0
