@@ -25,14 +25,17 @@ from ledgerlark.plans.warehouse import MART_NAMES, Warehouse
 from ledgerlark.session import checkpoint_dir
 
 # Datasets written by a run: name -> layer folder (S08 namespaces), in build order.
-# Single-consumer staging / intermediate datasets stay lazy views (as in the
-# reference); what is written is every dataset with several consumers (marts and
-# checks) plus the published marts.
+# What is written is every dataset with several consumers (marts and checks) plus the
+# published marts; the others stay lazy views.  Staging datasets are written as such
+# and never projected from a joined table, so a join that repeats rows (a duplicate
+# hand-off, a duplicate price) cannot reach them.  The priced requests are a view: a
+# map-side join of the written requests with the price sheet.
 LAYERS: dict[str, str] = {
+    "stg_llm_requests": "staging",
+    "stg_conversations": "staging",
     "stg_users": "staging",
     "stg_intent_predictions": "staging",
     "stg_escalations": "staging",
-    "priced_requests": "intermediate",
     "conversation_facts": "intermediate",
     "int_daily_product_metrics": "intermediate",
     **{m: "marts" for m in MART_NAMES},
@@ -40,25 +43,24 @@ LAYERS: dict[str, str] = {
 # Build waves: every dataset of a wave depends only on earlier waves, so the jobs of
 # one wave run concurrently (small marts would otherwise leave executors idle).
 WAVES: list[list[str]] = [
-    ["priced_requests", "stg_users", "stg_intent_predictions", "stg_escalations"],
-    ["conversation_facts"],
-    ["int_daily_product_metrics", "dim_users", "dim_models", "dim_intents", "fct_conversations",
-     "fct_llm_requests", "fct_weekly_cohort_retention"],
-    ["fct_daily_product_metrics", "fct_daily_model_costs", "mart_model_reliability_daily", "mart_intent_quality"],
+    ["stg_llm_requests", "stg_conversations", "stg_users", "stg_intent_predictions", "stg_escalations"],
+    ["conversation_facts", "dim_models", "dim_intents", "fct_llm_requests", "fct_weekly_cohort_retention",
+     "fct_daily_model_costs", "mart_model_reliability_daily"],
+    ["int_daily_product_metrics", "dim_users", "fct_conversations"],
+    ["fct_daily_product_metrics", "mart_intent_quality"],
     ["mart_daily_anomalies"],
 ]
 assert sorted(n for w in WAVES for n in w) == sorted(LAYERS)
 CONCURRENT_JOBS = int(os.environ.get("LEDGERLARK_CONCURRENT_JOBS", "8"))
-# Staging views re-planned as projections of a written superset, so neither the
-# request dedupe nor the conversation typing runs twice.
+# Views re-planned as projections of a written dataset of the same rows, so the joins
+# behind them run once: the quality columns ride in the conversation facts.
 PROJECTED_VIEWS: dict[str, str] = {
-    "stg_llm_requests": "priced_requests",
-    "stg_conversations": "conversation_facts",
     "int_conversation_quality": "conversation_facts",
 }
-# marts partitioned by date on write (partition pruning for date-range readers):
-# name -> (partition column, row key used to spread one date over several files)
-PARTITION_BY = {"fct_llm_requests": ("request_date", "request_id")}
+# marts partitioned by date on write (partition pruning for date-range readers).  The
+# rows are rebalanced on the date: AQE merges small days and splits a large one into
+# several tasks by its size.
+PARTITION_BY = {"fct_llm_requests": "request_date"}
 # Datasets whose row count is bounded by fixed domains (calendar days / weeks x catalogue
 # models, intents or metric names), not by event volume: their few rows are shuffled into
 # one partition before the write (``repartition``, not ``coalesce``, so the stage that
@@ -68,9 +70,6 @@ DOMAIN_BOUNDED = {
     "fct_daily_model_costs", "mart_model_reliability_daily", "mart_intent_quality",
     "mart_daily_anomalies", "fct_weekly_cohort_retention",
 }
-# Files written per date partition.  Rows are routed by (date, hash(key) % n), so
-# one very large day is written by n tasks in parallel instead of one.
-FILES_PER_PARTITION = int(os.environ.get("LEDGERLARK_FILES_PER_PARTITION", "1"))
 
 
 @dataclass
@@ -85,9 +84,8 @@ class PipelineRun:
 def _write(df: DataFrame, name: str, path: str) -> float:
     t0 = time.time()
     if name in PARTITION_BY:
-        part, key = PARTITION_BY[name]
-        salt = F.pmod(F.xxhash64(key), F.lit(FILES_PER_PARTITION))
-        df.repartition(part, salt).write.mode("overwrite").partitionBy(part).parquet(path)
+        part = PARTITION_BY[name]
+        df.hint("rebalance", F.col(part)).write.mode("overwrite").partitionBy(part).parquet(path)
     elif name in DOMAIN_BOUNDED:
         df.repartition(1).write.mode("overwrite").parquet(path)
     else:
@@ -95,6 +93,15 @@ def _write(df: DataFrame, name: str, path: str) -> float:
     return time.time() - t0
 
 
+def in_own_pool(spark, name: str, fn, *args):
+    """Run ``fn`` in a scheduler pool of its own: with FAIR scheduling the jobs of a wave share the cores."""
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        return fn(*args)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+
 def materialize(wh: Warehouse, root: str | None = None, names: list[str] | None = None,
                 concurrent_jobs: int = CONCURRENT_JOBS) -> PipelineRun:
     """Write the requested datasets (default: all layers) wave by wave and rewire ``wh`` onto them.
@@ -105,16 +112,18 @@ def materialize(wh: Warehouse, root: str | None = None, names: list[str] | None
     if root is None:
         root = f"{checkpoint_dir(wh.spark)}/ledgerlark-{uuid.uuid4().hex[:12]}"
     run = PipelineRun(root)
+    wh.forget_plans()
     wanted = set(names or LAYERS)
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
         for wave in WAVES:
             todo = [n for n in wave if n in wanted]
             plans = {n: getattr(wh, n) for n in todo}
-            futures = {n: pool.submit(_write, plans[n], n, run.path(n)) for n in todo}
+            futures = {n: pool.submit(in_own_pool, wh.spark, n, _write, plans[n], n, run.path(n)) for n in todo}
             for n in todo:
                 run.timings[n] = futures[n].result()
             for n in todo:
-                written = wh.spark.read.parquet(run.path(n)).select(*plans[n].columns)
+                read = read_mart(wh.spark, root, n) if LAYERS[n] == "marts" else wh.spark.read.parquet(run.path(n))
+                written = read.select(*plans[n].columns)
                 wh.__dict__[n] = written          # downstream datasets now plan on the written table
                 for view, source in PROJECTED_VIEWS.items():
                     if source == n:
@@ -142,7 +151,7 @@ def write_check_suite(wh: Warehouse, path: str, concurrent_jobs: int = CONCURREN
         df.coalesce(1).write.mode("overwrite").parquet(f"{path}/part={name}")
 
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
-        list(pool.map(write, parts.items()))
+        list(pool.map(lambda item: in_own_pool(wh.spark, item[0], write, item), parts.items()))
     return wh.spark.read.parquet(path).drop("part")
 
 

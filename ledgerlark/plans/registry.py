@@ -24,9 +24,12 @@ SPARK: dict[str, Callable[[Warehouse], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 ON_WRITTEN_LAYERS: set[str] = set()
 
-# Fixed load stamp / as-of time of the freshness check on driver-derived feeds.
-FIXED_LOADED_AT = "2024-03-31 06:00:00"
-FIXED_AS_OF = "2024-04-01 00:00:00"
+# Newest event of each derived feed: stands for its load time, and the newest
+# ingestion of a request for the time of the check, so ages follow the tables.
+FEED_EVENT_TIME = {
+    "users": "created_at", "conversations": "ended_at", "llm_requests": "_ingested_at",
+    "intent_predictions": "created_at", "escalations": "created_at", "daily_model_prices": "price_date",
+}
 
 
 def register(name: str, oracle: str | None, written_layers: bool = False):
@@ -41,19 +44,43 @@ def register(name: str, oracle: str | None, written_layers: bool = False):
     return deco
 
 
-_MATERIALIZED: dict[tuple[str, str], Warehouse] = {}
+_MATERIALIZED: dict[tuple[str, str], tuple[tuple, Warehouse, str]] = {}
+
+
+def _input_files(spark: SparkSession, sf_dir: str) -> tuple:
+    """(name, size, modification time) of the input files, through Spark's own file system."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(conf).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
+def _delete(spark: SparkSession, root: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialized_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """One pipeline run per (application, input folder); checks read its written layers."""
+    """One pipeline run per application and state of the input files; checks read its written layers.
+
+    New files under the same path start a new run; the layers of the old one are deleted.
+    """
     from ledgerlark.plans.pipeline import materialize
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MATERIALIZED:
+    key, files = (spark.sparkContext.applicationId, sf_dir), _input_files(spark, sf_dir)
+    old = _MATERIALIZED.get(key)
+    if old and old[0] != files:
+        _delete(spark, old[2])
+    if not old or old[0] != files:
         wh = Warehouse.from_driver_tables(spark, sf_dir)
-        materialize(wh)
-        _MATERIALIZED[key] = wh
-    return _MATERIALIZED[key]
+        _MATERIALIZED[key] = (files, wh, materialize(wh).root)
+    return _MATERIALIZED[key][1]
+
+
+def release_materialized(spark: SparkSession) -> None:
+    """Delete the written layers of this application's runs."""
+    for key in [k for k in _MATERIALIZED if k[0] == spark.sparkContext.applicationId]:
+        _delete(spark, _MATERIALIZED.pop(key)[2])
 
 
 def publish(df: DataFrame) -> DataFrame:
@@ -129,23 +156,28 @@ def _register_checks() -> None:
 
 def _register_landing() -> None:
     from ledgerlark.operators.invariants import source_freshness
-    from ledgerlark.sources.landing import landing_counts, with_load_stamp
+    from ledgerlark.sources.landing import landing_counts
 
     counts_sql = "\nUNION ALL\n".join(
         f"SELECT 'raw_{n}' AS table_name, count(*) AS n_rows FROM raw_{n}"
         for n in ("users", "conversations", "llm_requests", "intent_predictions", "escalations", "daily_model_prices"))
     register("landing_counts", counts_sql)(lambda wh: landing_counts(wh.feeds))
+    register("landed_counts", counts_sql)(lambda wh: landed_counts(wh))
+    hours = f"(epoch((SELECT max(cast(_ingested_at AS timestamp)) FROM raw_llm_requests)) - epoch(newest)) / 3600.0"
+    cfg = WarehouseConfig()
     fresh_sql = "\nUNION ALL\n".join(
-        f"SELECT 'raw_{n}' AS table_name, max(ts) AS max_loaded_at, "
-        f"(epoch(TIMESTAMP '{FIXED_AS_OF}') - epoch(max(ts))) / 3600.0 AS age_hours, "
-        f"CASE WHEN max(ts) IS NULL OR (epoch(TIMESTAMP '{FIXED_AS_OF}') - epoch(max(ts))) / 3600.0 > 72 THEN 'error' "
-        f"WHEN (epoch(TIMESTAMP '{FIXED_AS_OF}') - epoch(max(ts))) / 3600.0 > 24 THEN 'warn' ELSE 'pass' END AS status "
-        f"FROM (SELECT TIMESTAMP '{FIXED_LOADED_AT}' AS ts FROM raw_{n}) x"
-        for n in ("users", "conversations", "llm_requests", "intent_predictions", "escalations"))
-    register("freshness", fresh_sql)(lambda wh: source_freshness(
-        {f"raw_{n}": df for n, df in with_load_stamp(
-            {k: v for k, v in wh.feeds.items() if k != "daily_model_prices"}, FIXED_LOADED_AT).items()},
-        FIXED_AS_OF))
+        f"SELECT 'raw_{n}' AS table_name, newest AS max_loaded_at, {hours} AS age_hours, "
+        f"CASE WHEN newest IS NULL OR {hours} > {cfg.freshness_error_hours} THEN 'error' "
+        f"WHEN {hours} > {cfg.freshness_warn_hours} THEN 'warn' ELSE 'pass' END AS status "
+        f"FROM (SELECT max(cast({c} AS timestamp)) AS newest FROM raw_{n}) x"
+        for n, c in FEED_EVENT_TIME.items())
+
+    def freshness(wh: Warehouse) -> DataFrame:
+        now = wh.feeds["llm_requests"].agg(F.max(F.col("_ingested_at").cast("timestamp")).alias("as_of"))
+        stamped = {f"raw_{n}": wh.feeds[n].withColumn("_loaded_at", F.col(c).cast("timestamp")) for n, c in FEED_EVENT_TIME.items()}
+        return source_freshness(stamped, now, wh.config.freshness_warn_hours, wh.config.freshness_error_hours)
+
+    register("freshness", fresh_sql)(freshness)
 
 
 _register_landing()
@@ -187,6 +219,13 @@ def _register_reports() -> None:
         "report_incident_blast_radius": lambda wh: R.incident_blast_radius(
             wh.mart_model_reliability_daily, wh.fct_conversations, *incident_window(wh.config)),
     }
+    picked = R.ReportFilter("2024-01-20", "2024-02-25", ("gpt-4o-mini", "claude-haiku-4-5"))
+    spark_side |= {
+        "report_headline_tiles_filtered": lambda wh: R.headline_tiles(wh.fct_daily_product_metrics, picked),
+        "report_daily_model_costs_filtered": lambda wh: R.daily_model_costs(wh.fct_daily_model_costs, picked),
+        "report_anomaly_list_filtered": lambda wh: R.anomaly_list(wh.mart_daily_anomalies, picked),
+        "report_data_quality_summary_filtered": lambda wh: R.data_quality_summary(wh.fct_llm_requests, picked),
+    }
     for name, fn in spark_side.items():
         register(name, REPORTS[name], True)(fn)
 
@@ -194,18 +233,33 @@ def _register_reports() -> None:
 _register_reports()
 
 
+def landed_counts(wh: Warehouse) -> DataFrame:
+    """S01-S04 - write the derived feeds as CSV extracts, land them, count the landed rows."""
+    import uuid
+
+    from ledgerlark.session import checkpoint_dir
+    from ledgerlark.sources.landing import land_feeds, landing_counts, read_feeds, write_feeds
+
+    root = f"{checkpoint_dir(wh.spark)}/landed-{uuid.uuid4().hex[:12]}"
+    write_feeds(wh.feeds, f"{root}/extracts")
+    land_feeds(wh.spark, f"{root}/extracts", f"{root}/tables")
+    return landing_counts(read_feeds(wh.spark, f"{root}/tables"))
+
+
 def incremental_requests(wh: Warehouse) -> DataFrame:
-    """X07 - land the request feed as files in the shared folder, stage it with the stream."""
+    """X07 - land the request feed in several files, so replays arrive in other batches than
+    their originals, stage it batch by batch and merge every batch twice, as a retry would."""
     import uuid
 
     from ledgerlark.session import checkpoint_dir
-    from ledgerlark.sources.landing import FEED_COLUMNS
+    from ledgerlark.sources.landing import FEED_COLUMNS, write_csv
     from ledgerlark.streaming.incremental import staged_requests, start_incremental_staging
 
     root = f"{checkpoint_dir(wh.spark)}/incremental-{uuid.uuid4().hex[:12]}"
-    wh.feeds["llm_requests"].select(*FEED_COLUMNS["llm_requests"]).write.option("header", True).csv(
-        f"{root}/landing")
-    q = start_incremental_staging(wh.spark, f"{root}/landing", f"{root}/state", f"{root}/stream-ckpt")
+    feed = wh.feeds["llm_requests"].select(*FEED_COLUMNS["llm_requests"])
+    write_csv(feed.repartition(4, "request_id", "_ingested_at"), f"{root}/landing")
+    q = start_incremental_staging(wh.spark, f"{root}/landing", f"{root}/state", f"{root}/stream-ckpt",
+                                  max_files_per_trigger=1, attempts=2)
     q.awaitTermination()
     return staged_requests(wh.spark, f"{root}/state", wh.model_aliases)
 
@@ -220,9 +274,15 @@ def _register_extensions() -> None:
         return inject_defects(clean)
 
     def reconciliation(wh: Warehouse) -> DataFrame:
+        import uuid
+
+        from ledgerlark.session import checkpoint_dir
+        from ledgerlark.sources.landing import read_manifest, write_manifest
+
         messy, manifest = injected(wh)
-        return reconcile_manifest(manifest, Warehouse(wh.spark, messy, wh.config,
-                                                      price_rows_bound=wh.price_rows_bound))
+        path = f"{checkpoint_dir(wh.spark)}/manifest-{uuid.uuid4().hex[:12]}"
+        write_manifest(manifest, path)
+        return reconcile_manifest(read_manifest(wh.spark, path), Warehouse(wh.spark, messy, wh.config))
 
     from ledgerlark.operators.intermediate import price_of_day
     from ledgerlark.operators.rollups import rollup_kpis
@@ -235,7 +295,7 @@ def _register_extensions() -> None:
         SELECT r.request_id, r.request_date, r.model_name, p.input_price_per_1k_tokens, p.output_price_per_1k_tokens
         FROM s_llm_requests r
         LEFT JOIN s_daily_model_prices p ON r.model_name = p.model_name AND r.request_date = p.price_date""")(
-        lambda wh: price_of_day(wh.stg_llm_requests, wh.stg_daily_model_prices, wh.price_rows_bound).select(
+        lambda wh: price_of_day(wh.stg_llm_requests, wh.stg_daily_model_prices).select(
             "request_id", "request_date", "model_name", "input_price_per_1k_tokens", "output_price_per_1k_tokens"))
     register("defect_manifest", DEFECT_MANIFEST_SQL)(lambda wh: injected(wh)[1])
     register("stg_llm_requests_incremental", "SELECT * FROM s_llm_requests")(incremental_requests)

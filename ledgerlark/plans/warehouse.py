@@ -3,16 +3,14 @@
 ``Warehouse`` wires the pure ``DataFrame -> DataFrame`` operators together.  Each
 dataset is a cached property holding a *lazy* DataFrame, so asking for one mart
 plans exactly the lineage it needs and Catalyst prunes every unused column back
-to the parquet scan.  ``persist_shared=True`` (used by the pipeline and the
-benchmark) materialises the two datasets with several consumers - the priced
-request grain and the conversation facts - once per run.
+to the parquet scan.  ``plans.pipeline.materialize`` writes the datasets with
+several consumers and the marts and re-plans the others on the written tables.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlark.config import WarehouseConfig
@@ -21,38 +19,28 @@ from ledgerlark.operators import marts as M
 from ledgerlark.operators import staging as S
 from ledgerlark.session import ensure_defaults
 from ledgerlark.sources import seeds
-from ledgerlark.sources.feeds import PRICE_DAYS, derive_feeds
+from ledgerlark.sources.feeds import derive_feeds
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, feeds: dict[str, DataFrame], config: WarehouseConfig | None = None,
-                 persist_shared: bool = False, price_rows_bound: int | None = None):
+    def __init__(self, spark: SparkSession, feeds: dict[str, DataFrame], config: WarehouseConfig | None = None):
         self.spark = ensure_defaults(spark)
         self.feeds = feeds
         self.config = config or WarehouseConfig()
-        self.persist_shared = persist_shared
-        self.price_rows_bound = price_rows_bound
-        self._persisted: list[DataFrame] = []
         self.source_root: str | None = None
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, root: str, **kw) -> Warehouse:
         """Feeds derived from the driver parquet tables (FIXTURES.md §2)."""
-        kw.setdefault("price_rows_bound", PRICE_DAYS * len(seeds.MODEL_NAMES))
         wh = cls(spark, derive_feeds(spark, root), **kw)
         wh.source_root = root
         return wh
 
-    def _shared(self, df: DataFrame) -> DataFrame:
-        if self.persist_shared:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            self._persisted.append(df)
-        return df
-
-    def release(self) -> None:
-        for df in self._persisted:
-            df.unpersist()
-        self._persisted.clear()
+    def forget_plans(self) -> None:
+        """Drop the plans built so far; the next access plans on what is written by then."""
+        for name, member in vars(type(self)).items():
+            if isinstance(member, cached_property):
+                self.__dict__.pop(name, None)
 
     # seeds ---------------------------------------------------------------
     @cached_property
@@ -96,8 +84,12 @@ class Warehouse:
     @cached_property
     def priced_requests(self) -> DataFrame:
         """Staging requests + price + recomputed cost: the request grain of every mart."""
-        return self._shared(I.int_model_costs(self.stg_llm_requests, self.stg_daily_model_prices,
-                                              self.price_rows_bound))
+        return I.int_model_costs(self.stg_llm_requests, self.stg_daily_model_prices)
+
+    @cached_property
+    def model_day_requests(self) -> DataFrame:
+        """The request columns of M18 and M21: no conversation column, hence no conversation join."""
+        return M.requests_with_tier(self.priced_requests, self.model_catalog)
 
     @cached_property
     def int_model_costs(self) -> DataFrame:
@@ -113,13 +105,12 @@ class Warehouse:
 
     @cached_property
     def conversation_facts(self) -> DataFrame:
-        return self._shared(M.conversation_facts(
-            self.stg_conversations, self.int_conversation_request_rollup, self.int_conversation_quality))
+        return M.conversation_facts(
+            self.stg_conversations, self.int_conversation_request_rollup, self.int_conversation_quality)
 
     @cached_property
     def int_daily_product_metrics(self) -> DataFrame:
-        return I.int_daily_product_metrics(self.conversation_facts, self.priced_requests, self.stg_conversations,
-                                           exact_percentiles=self.config.exact_percentiles)
+        return I.int_daily_product_metrics(self.conversation_facts, self.priced_requests, self.stg_conversations)
 
     @cached_property
     def int_intent_confusion(self) -> DataFrame:
@@ -152,7 +143,7 @@ class Warehouse:
 
     @cached_property
     def fct_daily_model_costs(self) -> DataFrame:
-        return M.fct_daily_model_costs(self.fct_llm_requests)
+        return M.fct_daily_model_costs(self.model_day_requests)
 
     @cached_property
     def mart_intent_quality(self) -> DataFrame:
@@ -160,12 +151,12 @@ class Warehouse:
 
     @cached_property
     def mart_model_reliability_daily(self) -> DataFrame:
-        return M.mart_model_reliability_daily(self.fct_llm_requests)
+        return M.mart_model_reliability_daily(self.model_day_requests)
 
     @cached_property
     def fct_weekly_cohort_retention(self) -> DataFrame:
         from ledgerlark.operators.cohorts import weekly_cohort_retention
-        return weekly_cohort_retention(self.stg_users, self.stg_conversations, self.config.cohort)
+        return weekly_cohort_retention(self.stg_users, self.stg_conversations)
 
     @cached_property
     def mart_daily_anomalies(self) -> DataFrame:

@@ -3,9 +3,9 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators.checks import DECLARED
 from ledgerlark.operators.defects import inject_defects, reconcile_manifest
-from ledgerlark.plans.pipeline import run_pipeline
+from ledgerlark.plans.pipeline import materialize, read_mart, run_pipeline
 from ledgerlark.plans.warehouse import Warehouse
-from ledgerlark.sources.feeds import PRICE_DAYS, derive_feeds
+from ledgerlark.sources.feeds import derive_feeds
 
 WARN_EXPECTED = {
     "not_null__raw_llm_requests__conversation_id", "unique__raw_llm_requests__request_id",
@@ -30,8 +30,75 @@ def test_suite_outcome(spark, tmp_path):
 def test_injected_defects_are_all_detected(spark):
     clean = derive_feeds(spark, "/root/testdata/sf0.001", clean=True)
     messy, manifest = inject_defects(clean)
-    wh = Warehouse(spark, messy, price_rows_bound=PRICE_DAYS * 5)
+    wh = Warehouse(spark, messy)
     rec = reconcile_manifest(manifest, wh)
     tot = rec.agg(F.sum("expected").alias("e"), F.sum("detected").alias("d"), F.sum("missed").alias("m"),
                   F.sum("extra").alias("x")).first()
     assert tot.e > 0 and tot.d == tot.e and tot.m == 0 and tot.x == 0
+
+
+def test_written_layers_equal_lazy_plans_with_duplicates(spark, tmp_path):
+    """A duplicated hand-off and a duplicated price row repeat rows of joins, never of staging."""
+    feeds = derive_feeds(spark, "/root/testdata/sf0.001")
+    twice = {**feeds, "escalations": feeds["escalations"].unionByName(feeds["escalations"].limit(1)),
+             "daily_model_prices": feeds["daily_model_prices"].unionByName(feeds["daily_model_prices"].limit(1))}
+    twice = {n: df.cache() for n, df in twice.items()}
+    names = ["stg_conversations", "stg_llm_requests", "dim_intents", "fct_llm_requests", "int_conversation_quality", "fct_conversations"]
+
+    def sizes(wh):
+        return {n: (getattr(wh, n).count() if n != "dim_intents" else wh.dim_intents.agg(F.sum("n_conversations")).first()[0]) for n in names}
+
+    lazy = sizes(Warehouse(spark, twice))
+    wh = Warehouse(spark, twice)
+    materialize(wh, str(tmp_path / "wh"))
+    assert sizes(wh) == lazy
+    assert lazy["stg_conversations"] == lazy["dim_intents"] == lazy["fct_conversations"] - 1
+    assert read_mart(spark, str(tmp_path / "wh"), "dim_models").count() == 5
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    """One request date for all rows: the rebalanced write splits it by size."""
+    import os
+
+    from ledgerlark.plans.pipeline import _write
+
+    df = spark.range(400_000).select(F.col("id").alias("request_id"), F.sha2(F.col("id").cast("string"), 256).alias("x"),
+                                     F.lit("2024-01-01").cast("date").alias("request_date"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+    try:
+        _write(df, "fct_llm_requests", str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    parts = [f for f in os.listdir(tmp_path / "out" / "request_date=2024-01-01") if f.endswith(".parquet")]
+    assert len(parts) > 2 and spark.read.parquet(str(tmp_path / "out")).count() == 400_000
+
+
+def test_no_escalated_conversation(spark):
+    """X01 marks nothing when nobody was escalated."""
+    from ledgerlark.operators.defects import inject_conversation_defects
+
+    c = derive_feeds(spark, "/root/testdata/sf0.001", clean=True)["conversations"].withColumn("escalated", F.lit("False"))
+    messy, manifest = inject_conversation_defects(c)
+    assert manifest.count() == 0 and messy.exceptAll(c).count() == 0
+
+
+def test_new_input_files_start_a_new_run(spark, tmp_path):
+    import shutil
+
+    from ledgerlark.plans import registry
+
+    src = tmp_path / "in"
+    src.mkdir()
+    for t in ("customer", "nation", "orders", "lineitem"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", src / f"{t}.parquet")
+    first = registry.materialized_warehouse(spark, str(src))
+    assert registry.materialized_warehouse(spark, str(src)) is first
+    n = first.dim_users.count()
+    spark.read.parquet(str(src / "customer.parquet")).limit(100).coalesce(1).write.parquet(str(tmp_path / "less"))
+    (src / "customer.parquet").unlink()
+    shutil.copy(next((tmp_path / "less").glob("part-*.parquet")), src / "customer.parquet")
+    again = registry.materialized_warehouse(spark, str(src))
+    assert again is not first and again.dim_users.count() == 100 < n
+    registry.release_materialized(spark)
+    assert not any(k[1] == str(src) for k in registry._MATERIALIZED)
