@@ -166,5 +166,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent
 
     A document without doc_id cannot be named by the search's result; it stays.
     """
-    bad = cut(contaminated(docs, benchmark, k, percent).where("doc_id is not null").select(F.col("doc_id").alias("_llm_id")).distinct(), "leaks")
-    return docs.withColumn("_llm_id", F.col("doc_id").cast("long")).join(bad, "_llm_id", "left_anti").select(*docs.columns)
+    bad = cut(contaminated(docs, benchmark, k, percent).where("doc_id is not null").select(F.col("doc_id").alias("id")).distinct(), "leaks")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return packed.join(bad, "id", "left_anti").select("row.*")

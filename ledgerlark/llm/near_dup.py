@@ -321,9 +321,11 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> Data
 
     Of rows that repeat a doc_id one stays; rows without doc_id all stay.
     """
-    found = near_duplicates(docs, k, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("_llm_id")).distinct()
-    keyed = docs.withColumn("_llm_id", F.col("doc_id").cast("long"))
-    alone = Window.partitionBy("_llm_id").orderBy(F.xxhash64("text"))
-    one = (keyed.where("_llm_id is not null").withColumn("_llm_rank", F.row_number().over(alone))
-           .where("_llm_rank = 1").join(found, "_llm_id", "left_semi"))
-    return one.select(*docs.columns).unionByName(keyed.where("_llm_id is null").select(*docs.columns))
+    found = (near_duplicates(docs, k, percent).where("kept and doc_id is not null")
+             .select(F.col("doc_id").alias("id")).distinct())
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash"))
+    alone = Window.partitionBy("id").orderBy("text_hash")
+    one = (packed.where("id is not null").withColumn("nth", F.row_number().over(alone))
+           .where("nth = 1").join(found, "id", "left_semi"))
+    return one.select("row.*").unionByName(packed.where("id is null").select("row.*"))
