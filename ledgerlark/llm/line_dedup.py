@@ -155,8 +155,9 @@ def _removals(keyed: DataFrame, span: int, reach: int) -> DataFrame:
     """(did, th, gone): the hashes of the chunks that each document loses to an earlier one."""
     spark = keyed.sparkSession
     chunks = cut(arrow_map(keyed, _chunk_rows(span, reach), "did long, th long, hash long"), "chunks")
-    common = (chunks.groupBy("hash").agg(F.min("did").alias("first"), F.max("did").alias("last"))
-              .where("first <> last").select("hash", "first"))
+    # Written before the join: a join of two plain exchanges lets AQE split a chunk that occurs everywhere.
+    common = cut(chunks.groupBy("hash").agg(F.min("did").alias("first"), F.max("did").alias("last"))
+                 .where("first <> last").select("hash", "first"), "common")
     spots = cut(chunks.join(common, "hash"), "spots")
     asked = spots.groupBy("did", "th").agg(F.collect_list("hash").alias("hashes"))
     texts = cut(arrow_map(keyed.join(asked, ["did", "th"]).select("did", "th", "text", "hashes"),
