@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.config import AnomalyParams
+from ledgerlark.functions.exprs import ratio
 
 # ---------------------------------------------------------------------------
 # The detector's metric list (name, bad side, kind, denominator)
@@ -46,8 +47,8 @@ MIN_SPREAD = 1e-9
 # ---------------------------------------------------------------------------
 
 
-def unpivot_metrics(daily: DataFrame) -> DataFrame:
-    """Long format (metric_date, metric_name, actionable_direction, metric_kind, value, denominator)."""
+def unpivot_metrics(daily: DataFrame, metrics: list[tuple] = METRICS, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Long format (metric_date, keys, metric_name, actionable_direction, metric_kind, value, denominator)."""
     rows = [
         F.struct(
             F.lit(name).alias("metric_name"),
@@ -56,9 +57,9 @@ def unpivot_metrics(daily: DataFrame) -> DataFrame:
             F.col(name).cast("double").alias("metric_value"),
             (F.col(den) if den else F.lit(None)).cast("double").alias("denominator"),
         )
-        for name, side, kind, den in METRICS
+        for name, side, kind, den in metrics
     ]
-    return daily.select("metric_date", F.inline(F.array(*rows)))
+    return daily.select("metric_date", *keys, F.inline(F.array(*rows)))
 
 
 def interpolated_median(sorted_arr: Column) -> Column:
@@ -108,11 +109,39 @@ def spread_floor(kind: Column, b: Column, den: Column) -> Column:
 
 
 def daily_anomalies(daily_kpis: DataFrame, params: AnomalyParams | None = None) -> DataFrame:
+    """K02 - flags on the daily product KPIs."""
+    return detect(unpivot_metrics(daily_kpis.where(~F.col("is_partial_day"))), (), params)
+
+
+# The per-provider metrics of X06 (name, bad side, kind, denominator).
+PROVIDER_METRICS = [
+    ("error_rate", "high", "proportion", "n_requests"),
+    ("timeout_rate", "high", "proportion", "n_requests"),
+    ("worst_model_p95_ms", "high", "ratio", None),
+    ("total_cost_usd", "high", "amount", None),
+]
+
+
+def provider_anomalies(reliability: DataFrame, daily_kpis: DataFrame, params: AnomalyParams | None = None) -> DataFrame:
+    """X06 - the same detector per (day, provider, metric), on full days of the reliability mart.
+
+    Rates are ratios of the models' sums; the latency metric is the worst model's p95.
+    """
+    days = daily_kpis.where(~F.col("is_partial_day")).select("metric_date")
+    per_day = reliability.groupBy(F.col("request_date").alias("metric_date"), "model_provider").agg(
+        F.sum("n_requests").alias("n_requests"), F.sum("n_failed_requests").alias("_failed"),
+        F.sum("n_timeout_requests").alias("_timeouts"), F.max("p95_latency_ms").alias("worst_model_p95_ms"),
+        F.sum("total_cost_usd").alias("total_cost_usd"))
+    rates = per_day.withColumns({"error_rate": ratio("_failed", "n_requests"), "timeout_rate": ratio("_timeouts", "n_requests")})
+    return detect(unpivot_metrics(rates.join(days, "metric_date", "left_semi"), PROVIDER_METRICS, ("model_provider",)),
+                  ("model_provider",), params)
+
+
+def detect(long: DataFrame, keys: tuple[str, ...], params: AnomalyParams | None = None) -> DataFrame:
+    """Flags of the series (``keys``, metric_name) of a long frame as from ``unpivot_metrics``."""
     p = params or AnomalyParams()
-    full_days = daily_kpis.where(~F.col("is_partial_day"))
-    long = unpivot_metrics(full_days)
-    trailing = Window.partitionBy("metric_name").orderBy("metric_date").rowsBetween(-p.baseline_days, -1)
-    weekly = (Window.partitionBy("metric_name", F.dayofweek("metric_date")).orderBy("metric_date")
+    trailing = Window.partitionBy(*keys, "metric_name").orderBy("metric_date").rowsBetween(-p.baseline_days, -1)
+    weekly = (Window.partitionBy(*keys, "metric_name", F.dayofweek("metric_date")).orderBy("metric_date")
               .rowsBetween(-p.baseline_weeks, -1))
     based = _with_baseline(long.where(F.col("metric_kind") != "amount"), trailing, p.min_history_days).unionByName(
         _with_baseline(long.where(F.col("metric_kind") == "amount"), weekly, p.min_history_weeks)
@@ -128,6 +157,7 @@ def daily_anomalies(daily_kpis: DataFrame, params: AnomalyParams | None = None)
     side = F.when(x > b, "high").otherwise("low")
     return flagged.select(
         "metric_date",
+        *keys,
         "metric_name",
         "metric_kind",
         "metric_value",

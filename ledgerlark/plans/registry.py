@@ -288,6 +288,14 @@ def _register_extensions() -> None:
     from ledgerlark.operators.rollups import rollup_kpis
     from ledgerlark.oracle.marts_sql import rollup_sql
 
+    from ledgerlark.operators.anomalies import provider_anomalies
+    from ledgerlark.operators.cohorts import weekly_cohort_retention
+    from ledgerlark.oracle.marts_sql import retention_sql
+
+    for by, name in (("segment", "retention_by_segment"), ("signup_channel", "retention_by_channel")):
+        register(name, retention_sql(by))(lambda wh, b=by: weekly_cohort_retention(wh.stg_users, wh.stg_conversations, (b,)))
+    register("provider_anomalies", "SELECT * FROM m_provider_anomalies", True)(lambda wh: provider_anomalies(
+        wh.mart_model_reliability_daily, wh.fct_daily_product_metrics, wh.config.anomaly))
     for unit in ("week", "month"):
         register(f"{unit}ly_kpis", rollup_sql(unit))(lambda wh, u=unit: rollup_kpis(
             wh.int_daily_product_metrics, wh.stg_conversations, wh.priced_requests, u))
