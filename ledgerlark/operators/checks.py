@@ -271,9 +271,13 @@ def accepted_values_violations(df: DataFrame, column: str, values: tuple) -> Dat
 
 
 def relationship_violations(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (a left anti join)."""
+    """Non-NULL child keys without a parent row and the rows that hold them.
+
+    The keys are counted first (combined map-side), so the anti join sees each key
+    once: a handful for a catalogue key, and a hot key is one row per task.
+    """
     keys = parent.select(F.col(parent_column).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
-    c = child.where(F.col(column).isNotNull())
+    c = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))
     return c.join(keys, c[column] == keys["_parent_key"], "left_anti")
 
 
@@ -359,7 +363,7 @@ def run_checks(datasets: dict[str, DataFrame], checks: list[Check]) -> DataFrame
             if c.kind != "relationships":
                 continue
             v = relationship_violations(df, c.column, datasets[c.parent[0]], c.parent[1])
-            parts.append(v.agg(*_result(c, F.count(F.lit(1)))))
+            parts.append(v.agg(*_result(c, F.coalesce(F.sum("n_records"), F.lit(0)))))
     out = reduce(DataFrame.unionByName, parts)
     return with_status(out)
 
