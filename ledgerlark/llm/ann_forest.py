@@ -212,13 +212,16 @@ def forest_search(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: in
                    .unionByName(dealt.where("is_query").join(depths, "rep").join(asked, "rep")))
     scored = arrow_map(with_vector.select("tree", "block", "is_query", "rep", "string", "depth", "v")
                        .repartition("tree", "block").sortWithinPartitions("tree", "block"), _best(dim, k + 1), "rep long, found long, score double")
-    # One more distinct vector than asked for, since one may be only the query itself.  A pair's score may
-    # differ in the last bit between blocks; the largest stands.
+    # One more distinct vector than asked for, since one may be only the query itself.  Matrix products may differ
+    # in the last bit between blocks, so the scores of what is left are summed anew, component by component.
     best = scored.groupBy("rep", "found").agg(F.max("score").alias("score"))
     nearest = Window.partitionBy("rep").orderBy(F.desc("score"), "found")
-    best = best.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= k + 1).drop("nth")
+    best = best.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= k + 1).select("rep", "found")
+    product = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    best = (best.join(asked.select("rep", F.col("v").alias("q")), "rep")
+            .join(points.select(F.col("rep").alias("found"), "v", "ids"), "found").select("rep", "ids", product.alias("score")))
     own = queries.select(F.col("id").alias("query_id"), "v").join(asked, "v").select("query_id", "rep")
-    answers = (best.join(points.select(F.col("rep").alias("found"), "ids"), "found").join(own, "rep")
+    answers = (best.join(own, "rep")
                .select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id"))
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return answers.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

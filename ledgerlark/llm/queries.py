@@ -161,9 +161,56 @@ SELECT p.page_id, p.size::BIGINT AS payload_bytes, p.digest AS payload_digest,
 FROM p LEFT JOIN g USING (digest, size)
 """
 
+#: At this scale the search covers every row, so its result is the exact one.
+_OP1 = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0) x
+WHERE rank <= 20
+"""
+
+_OP6 = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+     x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+     g AS (SELECT doc_id, p, string_agg(word, ' ') OVER f AS s, count(*) OVER f AS n FROM x
+           WINDOW f AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+     r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS nth FROM g WHERE n = 20) y WHERE nth > 1),
+     gone AS (SELECT DISTINCT doc_id, p + o AS p FROM r, range(0, 20) AS t(o)),
+     k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM x ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+_OP9 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS x FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+-- A link shares 80 % of the larger set at least, so one of its rarest fifth (and one more) of shingles.
+f AS (SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY df, x) AS place FROM s JOIN (SELECT x, count(*) AS df FROM s GROUP BY x) USING (x)),
+p AS (SELECT doc_id, x, n FROM f JOIN n USING (doc_id) WHERE place <= n - (4 * n + 4) // 5 + 1),
+c AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb FROM p a JOIN p b ON a.x = b.x AND a.doc_id < b.doc_id
+      WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+l AS (SELECT a, b FROM c JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b AND sb.x = sa.x
+      GROUP BY a, b, na, nb HAVING 100 * count(*) >= 80 * (na + nb - count(*))),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT a AS doc_id, a AS other FROM e UNION SELECT r.doc_id, e.b FROM reach r JOIN e ON e.a = r.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, doc_id) AS component_id, coalesce(m, doc_id) = doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id) q USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_ann_forest": _OP1,
     "op2_chat_format": _OP2,
     "op3_decontamination": _OP3,
+    "op6_substring_dedup": _OP6,
     "op8_warc": _OP8,
+    "op9_near_dup": _OP9,
     "op10_mixing": mixing_oracle(),
 }
