@@ -8,7 +8,8 @@ from ledgerlark.llm.ann_forest import common_prefix, forest_search, usable
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, rep string, id int")
+    real = [(i, v and [x if x is None else float(x) for x in v]) for i, v in rows]
+    return spark.createDataFrame([(*r, "x", 1) for r in real], "vec_id long, embedding array<float>, rep string, id int")
 
 
 def brute(rows, k):
