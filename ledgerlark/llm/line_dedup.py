@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import arrow_map, columns_as, cut, release_shuffles, text_slices
+from ledgerlark.llm.common import arrow_map, columns_as, cut, discard, release_shuffles, text_slices
 from ledgerlark.llm.textnum import fold, hash_spans
 
 SPAN, REACH = 2, 1
@@ -160,14 +160,17 @@ def _removals(keyed: DataFrame, span: int, reach: int) -> DataFrame:
                  .where("first <> last").select("hash", "first"), "common")
     spots = cut(chunks.join(common, "hash"), "spots")
     asked = spots.groupBy("did", "th").agg(F.collect_list("hash").alias("hashes"))
-    texts = cut(arrow_map(keyed.join(asked, ["did", "th"]).select("did", "th", "text", "hashes"),
+    # Texts are joined by sort-merge at every size, so that cost grows in proportion.
+    texts = cut(arrow_map(keyed.join(asked.hint("merge"), ["did", "th"]).select("did", "th", "text", "hashes"),
                           _chunk_texts(span, reach), "did long, th long, hash long, chunk binary").distinct(), "texts")
     release_shuffles(spark)
     first = spots.where("did = first").select("did", "hash").distinct()
-    originals = texts.join(first, ["did", "hash"], "left_semi").select("hash", "chunk").distinct()
+    originals = cut(texts.join(first, ["did", "hash"], "left_semi").select("hash", "chunk").distinct(), "originals")
     later = texts.join(spots.where("did > first").select("did", "th", "hash").distinct(), ["did", "th", "hash"], "left_semi")
     same = later.join(originals, ["hash", "chunk"], "left_semi")   # equality of the bytes
-    return cut(same.groupBy("did", "th").agg(F.collect_set("hash").alias("gone")), "gone")
+    gone = cut(same.groupBy("did", "th").agg(F.collect_set("hash").alias("gone")), "gone")
+    discard(chunks, common, spots, texts, originals)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, span: int = SPAN, reach: int = REACH) -> DataFrame:
@@ -175,7 +178,7 @@ def dedup_lines(docs: DataFrame, span: int = SPAN, reach: int = REACH) -> DataFr
     keyed = _keyed(docs)
     gone = _removals(keyed, span, reach)
     release_shuffles(docs.sparkSession)
-    out = arrow_map(keyed.join(gone, ["did", "th"], "left").select("did", "th", "text", "gone"), _apply(span, reach),
+    out = arrow_map(keyed.join(gone.hint("merge"), ["did", "th"], "left").select("did", "th", "text", "gone"), _apply(span, reach),
                     "did long, th long, text string, n_lines long, n_removed long")
     return out.select(F.when(F.col("did") != LAST, F.col("did")).alias("doc_id"), "text", "n_lines", "n_removed")
 
@@ -200,7 +203,7 @@ def drop_repeated_lines(docs: DataFrame, span: int = SPAN, reach: int = REACH) -
                 yield pa.RecordBatch.from_arrays([batch.column("rest"), done.column("text"), done.column("n_removed")],
                                                  names=["rest", "text", "n_removed"]).filter(keep)
 
-    out = arrow_map(keyed.join(gone, ["did", "th"], "left").select("rest", "did", "th", "text", "gone"), run, f"rest {rest_type}, text string, n_removed long")
+    out = arrow_map(keyed.join(gone.hint("merge"), ["did", "th"], "left").select("rest", "did", "th", "text", "gone"), run, f"rest {rest_type}, text string, n_removed long")
     cols = []
     for c in docs.columns:
         if c == "text":
