@@ -53,3 +53,13 @@ def test_fused_and_row_only_paths_agree(spark):
              for r in run_checks({"t": df}, row_checks + [Check("t", "unique", "k")]).collect()}
     assert alone == {"not_null__t__r": 1, "accepted_range__t__r": 1, "never": 0}
     assert fused == {**alone, "unique__t__k": 1}
+
+
+def test_offending_groups(spark):
+    """The violating groups behind the counts: duplicate keys, duplicate combinations, unlisted values."""
+    from ledgerlark.operators.checks import accepted_values_violations, combination_violations, unique_violations
+
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), (None, "z"), (None, "z")], "k string, v string")
+    assert [tuple(r) for r in unique_violations(df, "t", "k").collect()] == [("a", 2)]
+    assert {tuple(r) for r in combination_violations(df, ("k", "v")).collect()} == {("a", "x", 2), (None, "z", 2)}
+    assert {tuple(r) for r in accepted_values_violations(df, "v", ("x", "y")).collect()} == {("z", 2)}
