@@ -111,14 +111,3 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     """``mapInArrow`` with the package at hand in the workers."""
     ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
-
-
-def long_lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """A list<int64> column from flat values and the length of each row's list."""
-    offs = np.zeros(len(counts) + 1, np.int32)
-    np.cumsum(counts, out=offs[1:])
-    return pa.ListArray.from_arrays(pa.array(offs), pa.array(values.astype(np.int64)))
-
-
-def empty_like(schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({f.name: [] for f in schema}, schema=schema)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from ledgerlark.llm import substring_dedup
-from ledgerlark.llm.substring_dedup import drop_repeated_spans
+from ledgerlark.llm.substring_dedup import POSITION_BITS, drop_repeated_spans, repeated_spans
 
 
 def brute(rows, k):
@@ -91,3 +91,15 @@ def weak_edges(module, weak):
         return again
 
     return edge_rows
+
+
+def test_paths_name_their_sources(make_docs, prose):
+    """A passage of 45 words in three documents: two paths of 26 windows with the coordinates of the first."""
+    p = prose(3, 45)
+    rows = [(10, " ".join(prose(4, 7) + p)), (20, " ".join(p + prose(5, 9))), (30, " ".join(prose(6, 3) + p)), (40, rows_of := " ".join(prose(8, 60))), (50, rows_of)]
+    paths, ranks, copies = repeated_spans(make_docs(rows))
+    did = {r["rank"]: r.did for r in ranks.collect()}
+    low = (1 << POSITION_BITS) - 1
+    got = {(did[r.at >> POSITION_BITS], r.at & low, did[r.source >> POSITION_BITS], r.source & low, r.n) for r in paths.collect()}
+    assert got == {(20, 0, 10, 7, 26), (30, 3, 10, 7, 26)}
+    assert [(r.did) for r in copies.collect()] == [50]
