@@ -184,15 +184,19 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
 
 
+# Aggregates are written before they are joined: a join of two plain exchanges lets AQE
+# split the node that a large group has as its centre, or its bucket.
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     sym = _both_ways(edges)
-    low = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = cut(sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
     return sym.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
+    low = cut(down.groupBy("u").agg(F.min("v").alias("m")), "minima")
     links = down.join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return links.union(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
 
@@ -217,8 +221,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def _rest_candidates(members: DataFrame, labels: DataFrame, profiles: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs across components inside one bucket, compared by signature and sketch in blocks."""
     named = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
-             .where("lo <> hi and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    mixed = cut(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
+                .where("lo <> hi and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
     dealt = (named.join(mixed, "key").join(profiles, "node")
              .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -293,7 +297,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
 
     profiles = rep_rows.select("node", "n_shingles", "signature", "sketch")
     banded = rep_rows.select("node", F.explode("band_keys").alias("key"))
-    pivots = (banded.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select("key", "pivot"))
+    pivots = cut(banded.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
+                 .where("pivot <> top").select("key", "pivot"), "pivots")
     members = cut(banded.join(pivots, "key").select("key", "node", "pivot").distinct(), "members")
     release_shuffles(spark)
     star = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
