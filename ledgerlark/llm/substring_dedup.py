@@ -213,24 +213,25 @@ def _repeated(keyed: DataFrame, k: int, seed: int) -> tuple[DataFrame, DataFrame
     spark = keyed.sparkSession
     known = keyed.where("did is not null").select("did", "sub", "text")
     whole = cut(arrow_map(known, _whole_digests(k), "did long, sub long, digest binary").where("digest is not null").distinct(), "whole")
-    first = whole.groupBy("digest").agg(F.min("did").alias("first_did"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = cut(whole.groupBy("digest").agg(F.min("did").alias("first_did"), F.count(F.lit(1)).alias("n")).where("n > 1"), "first")
     later = whole.join(first, "digest")
     # Several texts of one doc_id cannot be equal, so the smallest did is one document.
     copies = cut(later.where("did > first_did").select("did", "sub"), "copies")
 
     seeds = cut(arrow_map(known, _seed_rows(k, seed), "seed long, did long, sub long, n int"), "seeds")
-    often = seeds.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed")
+    often = cut(seeds.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed"), "often")
+    release_shuffles(spark)
     hits = cut(seeds.join(often, "seed").select("did", "sub", "seed").join(copies, ["did", "sub"], "left_anti")
                .groupBy("did", "sub").agg(F.collect_list("seed").alias("seeds")), "hits")
     ranks = _ranked(hits.select("did", "sub"))
-    discard(whole, seeds)
+    discard(whole, seeds, often)
     release_shuffles(spark)
 
     # One text of each document: rows that repeat both doc_id and text are one.
     wanted = hits.join(ranks, ["did", "sub"])
     edges = cut(arrow_map(known.join(wanted, ["did", "sub"]).select("rank", "text", "seeds"), _edge_rows(k, seed), "edge long, at long"), "edges")
     release_shuffles(spark)
-    # Written before the join: a join of two plain exchanges lets AQE split an edge that occurs everywhere.
+    # Aggregates are written before the join: a join of two plain exchanges lets AQE split what occurs everywhere.
     source = cut(edges.groupBy("edge").agg(F.min("at").alias("source"), F.count(F.lit(1)).alias("n")).where("n > 1").select("edge", "source"), "sources")
     release_shuffles(spark)
     paths = cut(_path_table(edges.join(source, "edge").where("at > source")), "paths")
