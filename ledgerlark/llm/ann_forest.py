@@ -16,14 +16,23 @@ each prefix length, over all trees.  The depth of a query is the longest prefix
 which all trees together give ``CANDIDATES`` entries: the ascent is in step in all
 trees, and its length differs from query to query.  A second pass scores the
 matches of that length or more (all of them within the three blocks) in double
-precision and keeps the best per tree and block; the best of these are the result.
+precision and keeps the best per tree and block.
+
+*Rest.*  A tree has read a query's prefix run as a whole if the entries just outside
+its three blocks share less of the string.  A point with at least the score of the
+query's last result lies within a known angle, hence has a known least chance of
+standing in such a run; from that follows the chance that all trees missed it.
+Queries for which it is above ``MISS`` (too large a table for three blocks, a run of
+like strings longer than that, neighbours that do not stand out) are compared with
+every point, in tiles of ``PART`` queries and ``SLICE`` points.
 
 Equal vectors are one entry with their smallest ids, as many as a result can hold,
 so a vector that a third of all rows share costs one entry (the ids are limited per
 task before they are shuffled).
 
-Work per query is bounded by ``trees * 3 * BLOCK`` scores, so the whole is linear
-in the rows.  Recall depends on how far neighbours stand out; the README has figures.
+The descent takes at most ``trees * 3 * BLOCK`` scores per query, the rest one per
+point: linear in the rows where neighbours stand out, queries times points where they
+do not, since there no hash tells them apart.  The README has figures.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components
 take no part, neither do null ids and vectors of another length than most have.  Of rows that
@@ -42,6 +51,10 @@ from ledgerlark.llm.common import arrow_map, cut, release_shuffles
 
 TREES, BLOCK, CANDIDATES = 16, 4096, 100_000
 BITS = 64
+#: Greatest chance of missing a neighbour with which a query is left to the forest alone.
+MISS = 0.01
+#: Queries and points of a tile, and the least number of slices of the points.
+PART, SLICE, SLICES = 65_536, 32_768, 32
 
 
 def usable(rows: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -148,10 +161,12 @@ def _best(dim: int, keep: int):
             pts, queries = np.flatnonzero(~is_query), np.flatnonzero(is_query)
             pts = pts[np.argsort(rep[pts], kind="stable")]
             p = np.ascontiguousarray(x[pts])
-            for lo in range(0, len(queries) if len(pts) else 0, 256):
-                q = queries[lo : lo + 256]
+            step = max(1, min(256, (4 << 20) // max(1, len(pts))))
+            for lo in range(0, len(queries) if len(pts) else 0, step):
+                q = queries[lo : lo + step]
                 score = x[q] @ p.T
-                score[common_prefix(s[q], s[pts]) < depth[q][:, None]] = -np.inf
+                if depth[q].any():
+                    score[common_prefix(s[q], s[pts]) < depth[q][:, None]] = -np.inf
                 if len(pts) > keep:
                     # The keep-th largest value, and all that tie with it: ids decide later.
                     least = -np.partition(-score, keep - 1, axis=1)[:, keep - 1]
@@ -178,6 +193,52 @@ def _by_vector(rows: DataFrame, most: int) -> DataFrame:
     return few.groupBy("v").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids"))
 
 
+def _whole(placed: DataFrame) -> DataFrame:
+    """(rep, whole) per query and tree: the shortest prefix whose entries all stand in the three blocks; BITS + 1: none does."""
+    edges = placed.groupBy("tree", "block").agg(F.min("string").alias("low"), F.max("string").alias("high"))
+    before = edges.select("tree", (F.col("block") + 2).alias("block"), "high")
+    after = edges.select("tree", (F.col("block") - 2).alias("block"), "low")
+
+    def shared(other):
+        x = F.col("string").bitwiseXOR(F.col(other))
+        return F.when(F.col(other).isNull(), -1).when(x == 0, BITS).otherwise(BITS - F.length(F.bin(x)))
+
+    return (placed.where("is_query").join(before, ["tree", "block"], "left").join(after, ["tree", "block"], "left")
+            .select("rep", (F.greatest(shared("high"), shared("low")) + 1).alias("whole")))
+
+
+def _missed(whole: DataFrame, depths: DataFrame, last: DataFrame, asked: DataFrame, longest: float) -> DataFrame:
+    """(rep, miss): the chance at most that every tree misses a point with the score of the query's last result."""
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)) * float(np.sqrt(longest))
+    cosine = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.coalesce(F.col("score") / norm, F.lit(-1.0))))
+    agree = 1 - F.acos(cosine) / F.pi()   # the chance that one bit is the same
+    sure = asked.join(last, "rep", "left").join(depths, "rep").select("rep", "depth", agree.alias("agree"))
+    chance = F.when(F.col("whole") <= BITS, F.pow("agree", F.greatest("whole", "depth"))).otherwise(0.0)
+    return whole.join(sure, "rep").groupBy("rep").agg(F.product(1 - chance).alias("miss"))
+
+
+def _all_pairs(asked: DataFrame, n_asked: int, points: DataFrame, n_points: int) -> DataFrame:
+    """Every query beside every point, in tiles named like blocks."""
+    parts, slices = -(-n_asked // PART), max(SLICES, -(-n_points // SLICE))
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def one(n):
+        return F.pmod(F.xxhash64("rep"), F.lit(n)).cast("int")
+
+    rest = ["rep", F.lit(0).cast("long").alias("string"), F.lit(0).alias("depth"), "v"]
+    return (asked.select(one(parts).alias("tree"), every(slices).alias("block"), F.lit(True).alias("is_query"), *rest)
+            .unionByName(points.select(every(parts).alias("tree"), one(slices).alias("block"), F.lit(False).alias("is_query"), *rest)))
+
+
+def _nearest(scored: DataFrame, most: int) -> DataFrame:
+    """The ``most`` best points of each query: rep, found, score, nth."""
+    best = scored.groupBy("rep", "found").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("rep").orderBy(F.desc("score"), "found")
+    return best.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
+
+
 def forest_search(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TREES, candidates: int = CANDIDATES, seed: int = 11) -> DataFrame:
     """The ``k`` nearest rows found for each query: query_id, rank, vec_id, score.
 
@@ -210,13 +271,19 @@ def forest_search(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: in
 
     with_vector = (dealt.where("not is_query").withColumn("depth", F.lit(0)).join(points.select("rep", "v"), "rep")
                    .unionByName(dealt.where("is_query").join(depths, "rep").join(asked, "rep")))
-    scored = arrow_map(with_vector.select("tree", "block", "is_query", "rep", "string", "depth", "v")
-                       .repartition("tree", "block").sortWithinPartitions("tree", "block"), _best(dim, k + 1), "rep long, found long, score double")
+    def score(tiles):
+        return arrow_map(tiles.repartition("tree", "block").sortWithinPartitions("tree", "block"), _best(dim, k + 1), "rep long, found long, score double")
+
     # One more distinct vector than asked for, since one may be only the query itself.  Matrix products may differ
     # in the last bit between blocks, so the scores of what is left are summed anew, component by component.
-    best = scored.groupBy("rep", "found").agg(F.max("score").alias("score"))
-    nearest = Window.partitionBy("rep").orderBy(F.desc("score"), "found")
-    best = best.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= k + 1).select("rep", "found")
+    best = cut(_nearest(score(with_vector.select("tree", "block", "is_query", "rep", "string", "depth", "v")), k + 1), "best")
+    last = best.where(F.col("nth") == k + 1).select("rep", "score")
+    unsure = cut(_missed(_whole(placed), depths, last, asked, longest).where(F.col("miss") > MISS).select("rep").join(asked, "rep"), "unsure")
+    release_shuffles(spark)
+    if n_unsure := unsure.count():
+        rest = _nearest(score(_all_pairs(unsure, n_unsure, points, points.count())), k + 1)
+        best = best.join(unsure.select("rep"), "rep", "left_anti").unionByName(cut(rest, "best-of-all"))
+    best = best.select("rep", "found")
     product = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     best = (best.join(asked.select("rep", F.col("v").alias("q")), "rep")
             .join(points.select(F.col("rep").alias("found"), "v", "ids"), "found").select("rep", "ids", product.alias("score")))

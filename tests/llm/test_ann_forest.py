@@ -69,6 +69,18 @@ def test_recall_with_many_blocks(spark, monkeypatch):
     assert recall >= 0.9
 
 
+def recall_of(spark, x):
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x.astype(np.float32))]
+    expected, got = brute(rows, 20), search(spark, rows)
+    return np.mean([len({i for _, i, _ in got[q]} & {i for _, i in w}) / 20 for q, w in expected.items()])
+
+
+def test_recall_when_three_blocks_are_a_small_share(spark, monkeypatch):
+    """Nearly isotropic vectors: no prefix run that three blocks hold has all neighbours."""
+    monkeypatch.setattr(module, "BLOCK", 16)
+    assert recall_of(spark, np.random.default_rng(4).standard_normal((4000, 32))) >= 0.98
+
+
 def test_common_prefix():
     rng = np.random.default_rng(3)
     a, b = rng.integers(0, 2**63, (2, 40), dtype=np.uint64)
