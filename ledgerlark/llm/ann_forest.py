@@ -8,7 +8,8 @@ common prefix.
 
 *Index.*  All (tree, string) entries are range-sorted by Spark and numbered; runs of
 ``BLOCK`` entries are the blocks.  Blocks have equal size whatever the strings, so
-no bucket can be hot.  A query entry is sorted in among them and sent to its own
+no bucket can be hot.  Equal strings stand in an order that differs from tree to tree,
+so the trees offer different parts of a run longer than a block.  A query entry is sorted in among them and sent to its own
 block and the two beside it.
 
 *Descent and ascent.*  A first pass counts, per query, how many entries match at
@@ -90,8 +91,8 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _numbered(entries: DataFrame) -> DataFrame:
-    """The entries in order of (tree, string), dealt to blocks of BLOCK."""
-    placed = cut(entries.orderBy("tree", "string", "is_query", "rep").withColumn("place", F.monotonically_increasing_id()), "forest-order")
+    """The entries in order of (tree, string), dealt to blocks of BLOCK; equal strings in another order in each tree."""
+    placed = cut(entries.orderBy("tree", "string", F.xxhash64("tree", "rep"), "is_query", "rep").withColumn("place", F.monotonically_increasing_id()), "forest-order")
     part = F.shiftright("place", 33)
     sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size"))
     before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))
@@ -212,9 +213,12 @@ def _missed(whole: DataFrame, depths: DataFrame, last: DataFrame, asked: DataFra
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)) * float(np.sqrt(longest))
     cosine = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.coalesce(F.col("score") / norm, F.lit(-1.0))))
     agree = 1 - F.acos(cosine) / F.pi()   # the chance that one bit is the same
-    sure = asked.join(last, "rep", "left").join(depths, "rep").select("rep", "depth", agree.alias("agree"))
-    chance = F.when(F.col("whole") <= BITS, F.pow("agree", F.greatest("whole", "depth"))).otherwise(0.0)
-    return whole.join(sure, "rep").groupBy("rep").agg(F.product(1 - chance).alias("miss"))
+    # One depth for all trees, the greatest: a tree that parts the query from its neighbours has a short run, so a depth
+    # of each tree's own would trust just those trees.
+    deepest = whole.groupBy("rep").agg(F.max("whole").alias("whole"), F.count(F.lit(1)).alias("trees"))
+    chance = F.when(F.col("whole") <= BITS, F.pow(agree, F.greatest("whole", "depth"))).otherwise(0.0)
+    return (asked.join(last, "rep", "left").join(depths, "rep").join(deepest, "rep")
+            .select("rep", F.pow(1 - chance, "trees").alias("miss")))
 
 
 def _all_pairs(asked: DataFrame, n_asked: int, points: DataFrame, n_points: int) -> DataFrame:

@@ -81,6 +81,24 @@ def test_recall_when_three_blocks_are_a_small_share(spark, monkeypatch):
     assert recall_of(spark, np.random.default_rng(4).standard_normal((4000, 32))) >= 0.98
 
 
+@pytest.mark.parametrize("jitter", [1e-4, 1e-3])
+def test_recall_in_a_cluster_of_nearly_equal_vectors(spark, monkeypatch, jitter):
+    """A third of the rows differ slightly, in runs of like strings longer than three blocks."""
+    monkeypatch.setattr(module, "BLOCK", 32)
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((3000, 16))
+    x[:1000] = 2 * x[0] + jitter * rng.standard_normal((1000, 16))
+    assert recall_of(spark, rng.permutation(x)) >= 0.98
+
+
+def test_equal_strings_stand_in_another_order_in_each_tree(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK", 50)
+    rows = [(tree, 7, rep, False) for tree in (0, 1) for rep in range(200)]
+    placed = module._numbered(spark.createDataFrame(rows, "tree int, string long, rep long, is_query boolean")).collect()
+    first = [{r.rep for r in placed if r.tree == tree and r.block == 4 * tree} for tree in (0, 1)]
+    assert len(first[0]) == len(first[1]) == 50 and len(first[0] & first[1]) < 30
+
+
 def test_common_prefix():
     rng = np.random.default_rng(3)
     a, b = rng.integers(0, 2**63, (2, 40), dtype=np.uint64)
