@@ -27,8 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the chunks of lines that an earlier document holds."""
-    return drop_repeated_lines(docs)
+    """Texts without the runs of two lines or more that earlier documents hold."""
+    return drop_repeated_lines(docs, runs=True)
 
 
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,12 @@ both are fetched and compared by an equality join, which AQE can split.  Confirm
 chunks go; the first document keeps its own.  Inside one document the first of
 equal chunks stays.
 
+*Whole runs* (``runs``, as the query and the pipeline use it).  Both ends of a repeated
+passage are cut by what stands beside it, so short ones share no chunk.  Instead of the
+chunks every two consecutive lines are then counted, and the SHA-256 of both sides is
+compared.  A run of two lines or more stands in earlier documents just if each of its pairs
+does, so every line of every repeated run goes.  Inside one document chunks still decide.
+
 Defined results: null text stays null with no lines; an empty text has one empty
 line.  Null doc_id counts as the last document.  Rows that repeat doc_id and text
 get the same result and rows that share a doc_id do not count as earlier for one
@@ -21,6 +27,8 @@ another.  Other columns pass through untouched by the stage function.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -77,7 +85,16 @@ def _chunk_hashes(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.array([fold(h[a:b], b - a)[0] for a, b in zip(bounds[:-1], bounds[1:], strict=True) if b > a], np.uint64).view(np.int64)
 
 
-def _chunk_rows(span: int, reach: int):
+def _units(h: np.ndarray, bounds: np.ndarray, runs: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, first lines, lines after the last) of a document's pairs of lines, or of its chunks of two lines or more."""
+    if runs:
+        at = np.arange(max(0, len(h) - 1))
+        return fold(h, 2).view(np.int64), at, at + 2
+    wide = np.flatnonzero(np.diff(bounds) >= 2)
+    return _chunk_hashes(h, bounds)[wide], bounds[wide], bounds[wide + 1]
+
+
+def _chunk_rows(span: int, reach: int, runs: bool):
     schema = pa.schema([("did", pa.int64()), ("th", pa.int64()), ("hash", pa.int64())])
 
     def run(batches):
@@ -85,7 +102,7 @@ def _chunk_rows(span: int, reach: int):
             rows, hashes = [], []
             for r, _, _, h, bounds, _ in _chunks(batch.column("text"), span, reach):
                 if len(h) >= 2:
-                    c = np.unique(_chunk_hashes(h, bounds)[np.diff(bounds) >= 2])
+                    c = np.unique(_units(h, bounds, runs)[0])
                     rows.append(np.full(len(c), r)), hashes.append(c)
             take = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("did").take(take), batch.column("th").take(take),
@@ -94,8 +111,8 @@ def _chunk_rows(span: int, reach: int):
     return run
 
 
-def _chunk_texts(span: int, reach: int):
-    """Rows (did, th, text, hashes) to the bytes of the chunks with those hashes."""
+def _chunk_texts(span: int, reach: int, runs: bool):
+    """Rows (did, th, text, hashes) to the bytes of the chunks with those hashes, or the SHA-256 of the pairs."""
     schema = pa.schema([("did", pa.int64()), ("th", pa.int64()), ("hash", pa.int64()), ("chunk", pa.binary())])
 
     def run(batches):
@@ -105,10 +122,11 @@ def _chunk_texts(span: int, reach: int):
             for r, starts, ends, h, bounds, buf in _chunks(batch.column("text"), span, reach):
                 if len(h) < 2:
                     continue
-                c = _chunk_hashes(h, bounds)
-                for i in np.flatnonzero(np.isin(c, asked[r].values.to_numpy()) & (np.diff(bounds) >= 2)):
+                c, lo, hi = _units(h, bounds, runs)
+                for i in np.flatnonzero(np.isin(c, asked[r].values.to_numpy())):
+                    part = buf[starts[lo[i]] : ends[hi[i] - 1]].tobytes()
                     rows.append(r), hashes.append(c[i])
-                    parts.append(buf[starts[bounds[i]] : ends[bounds[i + 1] - 1]].tobytes())
+                    parts.append(hashlib.sha256(part).digest() if runs else part)
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("did").take(take), batch.column("th").take(take),
                                               pa.array(hashes, pa.int64()), pa.array(parts, pa.binary())], schema=schema)
@@ -116,7 +134,7 @@ def _chunk_texts(span: int, reach: int):
     return run
 
 
-def _apply(span: int, reach: int):
+def _apply(span: int, reach: int, runs: bool):
     """Rows (doc_id, text, gone) to the remaining text and line counts."""
     schema = pa.schema([("did", pa.int64()), ("th", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64())])
 
@@ -126,7 +144,8 @@ def _apply(span: int, reach: int):
             out, total, removed = [], [], []
             for r, starts, ends, h, bounds, buf in _chunks(texts, span, reach):
                 total.append(len(h))
-                bad = set(gone[r].as_py() or ())
+                found = gone[r].as_py() or ()
+                bad = set(() if runs else found)
                 size, c = np.diff(bounds), _chunk_hashes(h, bounds) if len(h) else np.empty(0, np.int64)
                 drop, seen = np.zeros(len(h), bool), {}
                 if bad or len(np.unique(c[size >= 2])) < int((size >= 2).sum()):
@@ -135,6 +154,10 @@ def _apply(span: int, reach: int):
                         if int(c[i]) in bad or part in seen.setdefault(int(c[i]), set()):
                             drop[bounds[i] : bounds[i + 1]] = True
                         seen.setdefault(int(c[i]), set()).add(part)
+                if runs and found:
+                    pairs, lo, _ = _units(h, bounds, runs)
+                    lo = lo[np.isin(pairs, np.array(found, np.int64))]
+                    drop[lo] = drop[lo + 1] = True
                 removed.append(int(drop.sum()))
                 if removed[-1]:
                     out.append(b"\n".join(buf[starts[i] : ends[i]].tobytes() for i in np.flatnonzero(~drop)).decode("utf-8"))
@@ -151,10 +174,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("did"), F.xxhash64("text").alias("th"), "text")
 
 
-def _removals(keyed: DataFrame, span: int, reach: int) -> DataFrame:
-    """(did, th, gone): the hashes of the chunks that each document loses to an earlier one."""
+def _removals(keyed: DataFrame, span: int, reach: int, runs: bool) -> DataFrame:
+    """(did, th, gone): the hashes of the chunks or pairs that each document loses to an earlier one."""
     spark = keyed.sparkSession
-    chunks = cut(arrow_map(keyed, _chunk_rows(span, reach), "did long, th long, hash long"), "chunks")
+    chunks = cut(arrow_map(keyed, _chunk_rows(span, reach, runs), "did long, th long, hash long"), "chunks")
     # Written before the join: a join of two plain exchanges lets AQE split a chunk that occurs everywhere.
     common = cut(chunks.groupBy("hash").agg(F.min("did").alias("first"), F.max("did").alias("last"))
                  .where("first <> last").select("hash", "first"), "common")
@@ -162,7 +185,7 @@ def _removals(keyed: DataFrame, span: int, reach: int) -> DataFrame:
     asked = spots.groupBy("did", "th").agg(F.collect_list("hash").alias("hashes"))
     # Texts are joined by sort-merge at every size, so that cost grows in proportion.
     texts = cut(arrow_map(keyed.join(asked.hint("merge"), ["did", "th"]).select("did", "th", "text", "hashes"),
-                          _chunk_texts(span, reach), "did long, th long, hash long, chunk binary").distinct(), "texts")
+                          _chunk_texts(span, reach, runs), "did long, th long, hash long, chunk binary").distinct(), "texts")
     release_shuffles(spark)
     first = spots.where("did = first").select("did", "hash").distinct()
     originals = cut(texts.join(first, ["did", "hash"], "left_semi").select("hash", "chunk").distinct(), "originals")
@@ -173,28 +196,28 @@ def _removals(keyed: DataFrame, span: int, reach: int) -> DataFrame:
     return gone
 
 
-def dedup_lines(docs: DataFrame, span: int = SPAN, reach: int = REACH) -> DataFrame:
-    """Per row of ``docs``: doc_id, text without repeated chunks, n_lines, n_removed."""
+def dedup_lines(docs: DataFrame, span: int = SPAN, reach: int = REACH, runs: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, text without repeated chunks (``runs``: without any line of a repeated run), n_lines, n_removed."""
     keyed = _keyed(docs)
-    gone = _removals(keyed, span, reach)
+    gone = _removals(keyed, span, reach, runs)
     release_shuffles(docs.sparkSession)
-    out = arrow_map(keyed.join(gone.hint("merge"), ["did", "th"], "left").select("did", "th", "text", "gone"), _apply(span, reach),
+    out = arrow_map(keyed.join(gone.hint("merge"), ["did", "th"], "left").select("did", "th", "text", "gone"), _apply(span, reach, runs),
                     "did long, th long, text string, n_lines long, n_removed long")
     return out.select(F.when(F.col("did") != LAST, F.col("did")).alias("doc_id"), "text", "n_lines", "n_removed")
 
 
-def drop_repeated_lines(docs: DataFrame, span: int = SPAN, reach: int = REACH) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, span: int = SPAN, reach: int = REACH, runs: bool = False) -> DataFrame:
     """The documents with the text that is left, all columns kept; ``n_chars`` follows the text.
 
     A document that loses every line goes: all it said stands in earlier documents.
     """
-    gone = _removals(_keyed(docs), span, reach)
+    gone = _removals(_keyed(docs), span, reach, runs)
     release_shuffles(docs.sparkSession)
     others = [c for c in docs.columns if c != "text"]
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest"), F.col("text"),
                         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("did"), F.xxhash64("text").alias("th"))
     rest_type = keyed.schema["rest"].dataType.simpleString()
-    inner = _apply(span, reach)
+    inner = _apply(span, reach, runs)
 
     def run(batches):
         for batch in batches:

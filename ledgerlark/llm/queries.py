@@ -49,8 +49,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text without the multi-line chunks that an earlier document holds."""
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    """Every document's text without the runs of two lines or more that earlier documents hold."""
+    return dedup_lines(table(spark, sf_dir, "documents"), runs=True)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,3 +75,33 @@ def test_boundaries_follow_content(prose):
     a, b = (set((chunk_bounds(line_hashes(x)) - shift)[2:-2].tolist()) for x, shift in ((lines, 0), (lines[:3] + ["new"] + lines[3:], 1)))
     assert {x for x in a if x > 6} == {x for x in b if x > 6}
     assert (np.diff(chunk_bounds(line_hashes(lines)))[1:-1] >= 2).all()
+
+
+def left_by_scan(rows):
+    """Lines outside runs of two or more that earlier documents hold; the rows have no repeats inside a document."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        lines = t.split("\n")
+        pairs = list(zip(lines[:-1], lines[1:], strict=True))
+        bad = {j + d for j, p in enumerate(pairs) if p in seen for d in (0, 1)}
+        seen |= set(pairs)
+        out[i] = "\n".join(x for j, x in enumerate(lines) if j not in bad)
+    return out
+
+
+def test_whole_runs_equal_a_plain_scan(make_docs, prose):
+    shared = [[" ".join(prose(40 * s + j, 8)) for j in range(2 + s)] for s in range(6)]
+    rows = []
+    for i in range(60):
+        lines = [" ".join(prose(9000 + 20 * i + j, 6)) for j in range(i % 7)]
+        at = i * 5 % (len(lines) + 1)
+        rows.append((i, "\n".join(lines[:at] + shared[i % 6] + lines[at:])))
+    rows += [(100, rows[3][1]), (101, "one\ntwo"), (102, "two\none"), (103, "zero\none\ntwo\nthree")]
+    expected = left_by_scan(rows)
+    assert expected[103] == "zero\nthree" and expected[102] == "two\none"
+    got = dedup_lines(make_docs(rows, clash=True), runs=True).collect()
+    assert {r.doc_id: r.text for r in got} == expected
+    assert all(r.n_removed == dict(rows)[r.doc_id].count("\n") + 1 - (0 if r.n_removed == r.n_lines else r.text.count("\n") + 1) for r in got)
+    left = drop_repeated_lines(make_docs(rows, clash=True), runs=True).collect()
+    whole = {r.doc_id for r in got if r.n_removed == r.n_lines}
+    assert 100 in whole and {r.doc_id: (r.text, r.n_chars) for r in left} == {i: (t, len(t)) for i, t in expected.items() if i not in whole}
