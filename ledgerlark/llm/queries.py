@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.ann_forest import forest_search, usable
+from ledgerlark.llm.centroids import centroid_clusters
 from ledgerlark.llm.chat_format import chat_digests
 from ledgerlark.llm.common import table
 from ledgerlark.llm.decontaminate import contaminated
@@ -17,8 +18,10 @@ from ledgerlark.llm.mixing import oracle as mixing_oracle
 from ledgerlark.llm.near_dup import near_duplicates
 from ledgerlark.llm.quality_rules import quality_scores
 from ledgerlark.llm.substring_dedup import drop_repeated_spans
+from ledgerlark.llm.suffix_dedup import drop_repeated_bytes
 from ledgerlark.llm.toxicity import toxicity_scores
 from ledgerlark.llm.warc import archive_round_trip
+from ledgerlark.llm.whitening import whitened
 
 
 def op1_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +82,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes outside repeated 200-byte strings of each document, as counts and a digest."""
+    return (drop_repeated_bytes(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with its cluster after ten rounds from eight start vectors."""
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first 32 whitened components."""
+    return whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     from corpus_pipeline import run   # the module at the top of the repository
@@ -97,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_near_dup": op9_near_dup,
     "op10_mixing": op10_mixing,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_centroids": op12_centroids,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 
@@ -205,6 +227,55 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, doc_id) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id) q USING (doc_id)
 """
 
+_OP11 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(hex(encode(text)), '') AS h FROM documents),
+     w AS (SELECT r, i, md5(substr(h, 2 * i - 1, 400)) AS m FROM d, unnest(range(1, len(h) // 2 - 198)) AS t(i)),
+     g AS (SELECT r, i FROM w QUALIFY count(*) OVER (PARTITION BY m) > 1),
+     n AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM g),
+     s AS (SELECT r, min(i) AS a, max(i) + 199 AS b
+           FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS island FROM n) x GROUP BY r, island),
+     p AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM s),
+     k AS (SELECT r, count(*) AS n_spans, sum(b - a + 1) AS gone, max(b) AS last,
+                  string_agg(substr(h, 2 * before + 1, 2 * (a - 1 - before)), '' ORDER BY a) AS kept
+           FROM p JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+
+def _op12(rounds: int = 10) -> str:
+    """Ten rounds as a chain of statements: c<i> centroids, a<i> assignments."""
+    def assigned(i):
+        return f"""a{i} AS MATERIALIZED (
+  SELECT r, vec_id, x, c AS cluster, d FROM (
+    SELECT v.r, v.vec_id, v.x, k.c, list_sum(list_transform(list_zip(v.x, k.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::HUGEINT AS d,
+           row_number() OVER (PARTITION BY v.r ORDER BY list_sum(list_transform(list_zip(v.x, k.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), k.c) AS nth
+    FROM v CROSS JOIN c{i} k) t WHERE nth = 1)"""
+
+    def moved(i):
+        return f"""m{i} AS (
+  SELECT cluster, p, sum(e) AS total, count(*) AS n FROM (SELECT cluster, unnest(x) AS e, generate_subscripts(x, 1) AS p FROM a{i}) t GROUP BY cluster, p),
+c{i + 1} AS MATERIALIZED (
+  SELECT k.c, coalesce(n.x, k.x) AS x FROM c{i} k LEFT JOIN (
+    SELECT cluster AS c, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY p) AS x FROM m{i} GROUP BY cluster) n USING (c))"""
+
+    steps = ",\n".join(f"{assigned(i)},\n{moved(i)}" for i in range(rounds))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding, list_transform(embedding::DOUBLE[], lambda e: floor(1024 * e)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR), embedding) - 1 AS c, x FROM v WHERE vec_id IS NOT NULL
+  QUALIFY c < 8),
+{steps},
+{assigned(rounds)}
+SELECT vec_id, cluster::INTEGER AS cluster, d::BIGINT AS distance, sum(d) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(k.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} k ON k.c = cluster
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_ann_forest": _OP1,
     "op2_chat_format": _OP2,
@@ -213,4 +284,6 @@ ORACLES: dict[str, str] = {
     "op8_warc": _OP8,
     "op9_near_dup": _OP9,
     "op10_mixing": mixing_oracle(),
+    "op11_suffix_dedup": _OP11,
+    "op12_centroids": _op12(),
 }
