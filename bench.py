@@ -24,7 +24,7 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerlark.plans.pipeline import materialize, write_check_suite  # noqa: E402
+from ledgerlark.plans.pipeline import materialize, read_mart, write_check_suite  # noqa: E402
 from ledgerlark.plans.warehouse import Warehouse  # noqa: E402
 from ledgerlark.session import checkpoint_dir, local_session  # noqa: E402
 from ledgerlark.sources.feeds import derive_feeds  # noqa: E402
@@ -71,8 +71,7 @@ def main() -> None:
     build = timings.pop("_build")
     checks = timings["check_suite"]
     summary = spark.read.parquet(f"{scratch}/timed/warehouse/audit/check_suite").groupBy("status").count().collect()
-    marts = f"{scratch}/timed/warehouse/marts"
-    rows = {n: spark.read.parquet(f"{marts}/{n}").count()
+    rows = {n: read_mart(spark, f"{scratch}/timed/warehouse", n).count()
             for n in ("fct_llm_requests", "fct_conversations", "dim_users", "mart_daily_anomalies")}
 
     print(json.dumps({

@@ -20,8 +20,8 @@ counts here, so neighbours in corpus order are brought together by hash, not by
 4. *Sparse text.*  Windows without a trigger in reach are compared one by one.
 5. A byte goes if a repeated window covers it.
 
-Texts that repeat as a whole share their key, so their rows fold into one by partial aggregates;
-so do a phrase's occurrences inside one text.  Texts are read in pieces of ``PIECE`` bytes.
+Texts that repeat as a whole share their key, so their runs fold into one set by partial aggregates;
+a phrase's occurrences inside one piece of a text are one row with their number.  Texts are read in pieces of ``PIECE`` bytes.
 Equality of spans is equality of two 64-bit hashes; texts are told apart by 88 bits of hash.
 
 Defined results: null text is empty.  Every row is a document of its own, whatever its
@@ -190,7 +190,7 @@ def _tails(length: int):
     return run
 
 
-#: kind 0: a phrase (tail, extended phrase); 1: a sparse window (both hashes); 2: window starts known to be repeated.
+#: kind 0: a phrase (tail, extended phrase); 1: a sparse window (both hashes); 2: window starts known to be repeated, their number in ``first``.
 _ENTRY = "kind int, first long, second long, text_hash long, at long, n long"
 
 
@@ -319,48 +319,81 @@ def _kept(length: int):
     return run
 
 
-def _position(at: str = "at"):
-    return F.shiftright(at, 8).bitwiseAND((1 << 32) - 1)
+def _merged():
+    """One row per text with its runs of window starts to the same runs merged where they touch."""
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("text_hash", pa.int64()), ("bits", pa.int64()), ("starts", longs), ("counts", longs)])
+
+    def run(batches):
+        for batch in batches:
+            n = np.diff(batch.column("runs").offsets.to_numpy())
+            flat = batch.column("runs").flatten()   # start and count in one long
+            packed = flat.to_numpy()
+            start, count, row = _runs(np.repeat(np.arange(batch.num_rows), n), packed >> 24, packed & ((1 << 24) - 1))
+            bounds = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("text_hash"), batch.column("bits"), pa.ListArray.from_arrays(bounds, pa.array(start)), pa.ListArray.from_arrays(bounds, pa.array(count))], schema=schema)
+
+    return run
+
+
+def _by_text(rows: DataFrame, count) -> DataFrame:
+    """Window starts of rows (text_hash, at) by text; copies of a text fold into one set before the shuffle."""
+    start = F.shiftright("at", 8).bitwiseAND((1 << 32) - 1)
+    sets = (rows.select("text_hash", F.shiftrightunsigned("at", 40).alias("bits"), (F.shiftleft(start, 24) + count).alias("run"))
+            .groupBy("text_hash", "bits").agg(F.collect_set("run").alias("runs")))
+    return arrow_map(sets, _merged(), "text_hash long, bits long, starts array<long>, counts array<long>")
 
 
 def repeated_windows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(text_hash, bits, start, count): runs of window starts of each distinct text whose windows also start elsewhere.
+    """(text_hash, bits, starts, counts): runs of window starts of each distinct text whose windows also start elsewhere.
 
-    ``texts``: text_hash, bits and text (binary).  A text that occurs twice need not be listed.
+    ``texts``: text_hash, bits and text (binary), a row per occurrence.
     """
+    spark = texts.sparkSession
     long_enough = texts.where(F.length("text") >= length)
     often = cut(arrow_map(long_enough.select("text"), _tails(length), "tail long, n long").groupBy("tail").agg(F.sum("n").alias("n"))
-                .where("n > 1").select(F.col("tail").alias("first")), "tails")
-    release_shuffles(texts.sparkSession)
-    entries = arrow_map(long_enough, _entries(length), _ENTRY)
+                .where("n > 1").select("tail", F.lit(True).alias("live")), "tails")
+    release_shuffles(spark)
     # One scan of the texts: sparse windows and settled runs ride through the join, spread by other columns.
+    entries = arrow_map(long_enough, _entries(length), _ENTRY)
     alive = cut(entries.withColumn("tail", F.when(F.col("kind") == 2, F.col("text_hash")).otherwise(F.col("first")))
-                .join(often.select(F.col("first").alias("tail"), F.lit(True).alias("live")), "tail", "left")
-                .where("kind > 0 or live").drop("tail", "live"), "alive")
-    release_shuffles(texts.sparkSession)
-    # Copies of a text fold into one row each; the sum still says how often it stands there.
-    phrases = cut(alive.where("kind = 0").groupBy("first", "second", "text_hash", "at").agg(F.sum("n").alias("n")), "phrases")
-    dictionary = cut(phrases.groupBy("first", "second").agg(F.sum("n").alias("n"), F.min(F.struct("text_hash", "at")).alias("where")), "dictionary")
-    release_shuffles(texts.sparkSession)
-    settled = phrases.join(dictionary.where("n > 1").select("first", "second"), ["first", "second"], "left_semi").select(
-        "text_hash", F.shiftrightunsigned("at", 40).alias("bits"), _position().alias("start"), F.col("at").bitwiseAND(255).alias("count"))
-    inside = alive.where("kind = 2").select("text_hash", F.shiftrightunsigned("at", 40).alias("bits"), _position().alias("start"), F.col("first").alias("count"))
-
+                .join(often, "tail", "left").where("kind > 0 or live").drop("tail", "live"), "alive")
+    discard(often)
+    release_shuffles(spark)
+
+    # The number of occurrences and one of them; both columns of ``first`` are of the same row.
+    phrases, rest = alive.where("kind = 0"), cut(alive.where("kind > 0"), "sparse")
+    dictionary = cut(phrases.groupBy("first", "second").agg(F.sum("n").alias("n"), F.first("text_hash").alias("text_hash"), F.first("at").alias("at")), "dictionary")
+    release_shuffles(spark)
+    several = dictionary.where("n > 1").select("first", "second")
+    settled = cut(_by_text(phrases.join(several, ["first", "second"], "left_semi"), F.col("at").bitwiseAND(255)), "settled")
+    discard(alive)
+    release_shuffles(spark)
     # Tails that several entries share, one of them occurring once.
     mixed = cut(dictionary.groupBy("first").agg(F.count(F.lit(1)).alias("entries"), F.min("n").alias("least"))
                 .where("entries > 1 and least = 1").select("first"), "mixed")
-    asked = cut(dictionary.join(mixed, "first", "left_semi").select("where.text_hash", "where.at").withColumn("bits", F.shiftrightunsigned("at", 40))
-                .groupBy("text_hash", "bits").agg(F.collect_list("at").alias("asked")), "asked")
-    opened = arrow_map(long_enough.join(asked, ["text_hash", "bits"]).select("text_hash", "bits", "text", "asked"), _opened(length),
-                       "first long, second long, text_hash long, at long, n long")
-    windows = cut(opened.unionByName(alive.where("kind = 1").drop("kind")).groupBy("first", "second", "text_hash", "at").agg(F.sum("n").alias("n")), "windows")
-    release_shuffles(texts.sparkSession)
+    asked = cut(dictionary.join(mixed, "first", "left_semi").groupBy("text_hash", F.shiftrightunsigned("at", 40).alias("bits"))
+                .agg(F.collect_list("at").alias("asked")), "asked")
+    discard(dictionary, mixed)
+    release_shuffles(spark)
+
+    # Written in text order, where the text's columns take next to no space.
+    opened = cut(arrow_map(long_enough.join(asked, ["text_hash", "bits"]).select("text_hash", "bits", "text", "asked"), _opened(length),
+                           "first long, second long, text_hash long, at long, n long"), "opened")
+    discard(asked)
+    release_shuffles(spark)
+    windows = opened.unionByName(rest.where("kind = 1").drop("kind"))
     repeated = cut(windows.groupBy("first", "second").agg(F.sum("n").alias("n")).where("n > 1").select("first", "second"), "repeated")
-    found = windows.join(repeated, ["first", "second"], "left_semi").select(
-        "text_hash", F.shiftrightunsigned("at", 40).alias("bits"), _position().alias("start"), F.lit(1).cast("long").alias("count"))
-    out = cut(settled.unionByName(inside).unionByName(found), "repeats")
-    discard(often, alive, phrases, dictionary, mixed, asked, windows, repeated)
-    release_shuffles(texts.sparkSession)
+    release_shuffles(spark)
+    found = cut(_by_text(windows.join(repeated, ["first", "second"], "left_semi"), F.lit(1)), "found")
+    discard(opened, repeated)
+    release_shuffles(spark)
+    inside = _by_text(rest.where("kind = 2"), F.col("first"))
+    out = cut(settled.unionByName(found).unionByName(inside).groupBy("text_hash", "bits").agg(
+        F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("counts")).alias("counts")), "repeats")
+    discard(settled, found, rest)
+    release_shuffles(spark)
     return out
 
 
@@ -375,9 +408,7 @@ def drop_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     known = texts.where("text is not null").select("text_hash", "bits", "text")
     copies = cut(known.groupBy("text_hash", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("text_hash", "bits"), "copies")
     runs = repeated_windows(known, length)
-    spans = (runs.groupBy("text_hash", "bits").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
-             .select("text_hash", "bits", F.col("runs.start").alias("starts"), F.col("runs.count").alias("counts")))
-    fate = cut(spans.join(copies.withColumn("copy", F.lit(True)), ["text_hash", "bits"], "full_outer"), "fate")
+    fate = cut(runs.join(copies.withColumn("copy", F.lit(True)), ["text_hash", "bits"], "full_outer"), "fate")
     discard(runs, copies)
     return arrow_map(texts.join(fate, ["text_hash", "bits"], "left").select("doc_id", "text", "copy", "starts", "counts"), _kept(length),
                      "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

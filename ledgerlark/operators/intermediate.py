@@ -13,10 +13,11 @@ Physical choices (SURVEY §4):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.exprs import count_where, ratio
+from ledgerlark.operators.percentiles import Percentile, with_percentiles
 
 COST_TOLERANCE_REL = "0.005"
 COST_TOLERANCE_ABS = "0.00001"
@@ -78,44 +79,80 @@ def model_costs_view(priced: DataFrame) -> DataFrame:
     return priced.select(*MODEL_COSTS_COLUMNS)
 
 
-def int_conversation_request_rollup(priced: DataFrame) -> DataFrame:
+#: Largest code of a model name in a packed (time, name) key; a catalogue has some dozens.
+NAME_CODES = 1_000_000
+
+
+def model_codes(names: DataFrame) -> DataFrame:
+    """(model_name, code): distinct model names numbered in alphabetical order.
+
+    Small, since models come from a catalogue; ``NAME_CODES`` names or more stop the run.
+    """
+    code = F.row_number().over(Window.orderBy("model_name")).cast("long")   # the names, not the requests
+    return names.where(F.col("model_name").isNotNull()).select("model_name", code.alias("code")).withColumn(
+        "code", F.when(F.col("code") < NAME_CODES, F.col("code")).otherwise(F.raise_error(F.lit("more model names than codes"))))
+
+
+def int_conversation_request_rollup(priced: DataFrame, model_names: DataFrame) -> DataFrame:
     """M08 - conversation-grain request aggregates; orphans excluded.
 
-    One aggregate pass: first/last model via ``min_by``/``max_by`` on
-    (created_at, request_id) replaces the self-join.  The two distinct counts
-    are ``size(collect_set(..))`` over the model / provider domains (bounded by
-    the catalogue), which avoids the row-multiplying Expand of several
-    ``count(distinct)`` in one aggregate.
+    Two hash aggregates: per (conversation, model, provider), then per conversation.
+    First and last model are the least and greatest packed (time, model code), a
+    number that a hash aggregate keeps in place; of models used at one instant the
+    alphabetically first (last) counts.  A request without time or model is neither.
+    The distinct counts run over the first level's rows.  ``model_names`` holds at
+    least the model names of the requests, each once.
     """
-    r = priced.where(F.col("conversation_id").isNotNull())
-    order = F.struct("created_at", "request_id")
-    st = F.col("status")
-    return r.groupBy("conversation_id").agg(
+    codes = F.broadcast(model_codes(model_names))   # below NAME_CODES rows, else an error
+    r = priced.where(F.col("conversation_id").isNotNull()).join(codes, "model_name", "left")
+    st, code = F.col("status"), F.col("code")
+    issue = F.col("has_invalid_latency") | F.col("has_token_sum_mismatch") | F.col("has_model_alias") | F.col("had_duplicate_ingest")
+    per_model = r.groupBy("conversation_id", "model_name", "model_provider", "code").agg(
         F.count(F.lit(1)).alias("n_requests"),
         count_where(F.col("is_success")).alias("n_successful_requests"),
         count_where(F.col("is_failed")).alias("n_failed_requests"),
         count_where(st == "error").alias("n_error_requests"),
         count_where(st == "timeout").alias("n_timeout_requests"),
         count_where(st == "rate_limited").alias("n_rate_limited_requests"),
-        F.size(F.collect_set("model_name")).cast("long").alias("n_distinct_models"),
-        F.size(F.collect_set("model_provider")).cast("long").alias("n_distinct_providers"),
         F.sum("prompt_tokens").alias("prompt_tokens"),
         F.sum("completion_tokens").alias("completion_tokens"),
         F.sum("total_tokens").alias("total_tokens"),
         F.sum("calculated_cost_usd").alias("cost_usd"),
         F.sum("recorded_cost_usd").alias("logged_cost_usd"),
-        F.avg(F.col("latency_ms").cast("double")).alias("avg_latency_ms"),
+        F.count("latency_ms").alias("_n_latency"),
         F.max("latency_ms").alias("max_latency_ms"),
         F.sum("latency_ms").alias("total_latency_ms"),
         F.bool_or("is_failed").alias("had_failed_request"),
-        F.bool_or(
-            F.col("has_invalid_latency") | F.col("has_token_sum_mismatch")
-            | F.col("has_model_alias") | F.col("had_duplicate_ingest")
-        ).alias("had_data_quality_issue"),
+        F.bool_or(issue).alias("had_data_quality_issue"),
         F.min("created_at").alias("first_request_at"),
         F.max("created_at").alias("last_request_at"),
-        F.min_by("model_name", order).alias("first_model_name"),
-        F.max_by("model_name", order).alias("last_model_name"),
+    )
+
+    def packed(time: str) -> Column:
+        return F.unix_micros(time).cast("decimal(38,0)") * F.lit(NAME_CODES).cast("decimal(7,0)") + code
+
+    sums = ["n_requests", "n_successful_requests", "n_failed_requests", "n_error_requests", "n_timeout_requests", "n_rate_limited_requests",
+            "prompt_tokens", "completion_tokens", "total_tokens", "cost_usd", "logged_cost_usd", "_n_latency", "total_latency_ms"]
+    rolled = per_model.withColumns({"_first": packed("first_request_at"), "_last": packed("last_request_at")}).groupBy("conversation_id").agg(
+        *[F.sum(c).cast(per_model.schema[c].dataType).alias(c) for c in sums],
+        F.countDistinct("model_name").alias("n_distinct_models"),
+        F.countDistinct("model_provider").alias("n_distinct_providers"),
+        F.max("max_latency_ms").alias("max_latency_ms"),
+        F.bool_or("had_failed_request").alias("had_failed_request"),
+        F.bool_or("had_data_quality_issue").alias("had_data_quality_issue"),
+        F.min("first_request_at").alias("first_request_at"),
+        F.max("last_request_at").alias("last_request_at"),
+        F.pmod(F.min("_first"), F.lit(NAME_CODES)).cast("long").alias("_first"),
+        F.pmod(F.max("_last"), F.lit(NAME_CODES)).cast("long").alias("_last"),
+    )
+    for end in ("first", "last"):
+        names = codes.select(F.col("model_name").alias(f"{end}_model_name"), F.col("code").alias(f"_{end}"))
+        rolled = rolled.join(F.broadcast(names), f"_{end}", "left")
+    return rolled.select(
+        "conversation_id", "n_requests", "n_successful_requests", "n_failed_requests", "n_error_requests", "n_timeout_requests",
+        "n_rate_limited_requests", "n_distinct_models", "n_distinct_providers", "prompt_tokens", "completion_tokens", "total_tokens",
+        "cost_usd", "logged_cost_usd", ratio("total_latency_ms", "_n_latency").alias("avg_latency_ms"), "max_latency_ms", "total_latency_ms",
+        "had_failed_request", "had_data_quality_issue", "first_request_at", "last_request_at", "first_model_name", "last_model_name",
     )
 
 
@@ -176,18 +213,7 @@ REQUEST_SIDE = [
     "cost_usd", "logged_cost_usd", "n_cost_mismatches", "n_latency_samples", "latency_ms_sum",
 ]
 PERCENTILES = ["p50_latency_ms", "p95_latency_ms", "p99_latency_ms"]
-PERCENTILE_POINTS = [0.5, 0.95, 0.99]
-PERCENTILE_SCALE = 6
-
-
-def percentile_value(c):
-    """Interpolated percentile published at 6 decimals.
-
-    The exact value of a linear-interpolated percentile of integers is a short
-    decimal (e.g. ``12141.8``); engines differ only in float noise from their
-    interpolation formula, which the rounding removes.
-    """
-    return F.round(c, PERCENTILE_SCALE)
+LATENCY_PERCENTILES = [Percentile(n, p) for n, p in zip(PERCENTILES, (0.5, 0.95, 0.99), strict=True)]
 
 
 def conversation_day_components(conv_facts: DataFrame, date_col: str = "conversation_date") -> DataFrame:
@@ -216,13 +242,11 @@ def conversation_day_components(conv_facts: DataFrame, date_col: str = "conversa
 def request_day_components(priced: DataFrame, date_col: str = "request_date") -> DataFrame:
     """Additive request-side components plus exact latency percentiles by ``date_col``.
 
-    Two hash aggregates: per (day, latency value) first, where a hot day is spread
-    over its values and combined map-side, then per day over that small table, the
-    percentiles with the value counts as frequencies.
+    One hash aggregate of the additive measures, which combines a hot day map-side; the
+    percentiles are ranks selected apart from them (``operators.percentiles``).
     """
-    st = F.col("status")
-    lat = F.col("latency_ms")
-    values = priced.groupBy(F.col(date_col).alias("metric_date"), "latency_ms").agg(
+    st, lat, day = F.col("status"), F.col("latency_ms"), priced.withColumn("metric_date", F.col(date_col))
+    sums = day.groupBy("metric_date").agg(
         F.count(F.lit(1)).alias("n_requests"),
         count_where(F.col("is_success")).alias("n_successful_requests"),
         count_where(F.col("is_failed")).alias("n_failed_requests"),
@@ -239,12 +263,7 @@ def request_day_components(priced: DataFrame, date_col: str = "request_date") ->
         F.count(lat).alias("n_latency_samples"),
         F.sum(lat).alias("latency_ms_sum"),
     )
-    return values.groupBy("metric_date").agg(
-        *[F.sum(c).alias(c) for c in REQUEST_SIDE],
-        F.percentile(lat, PERCENTILE_POINTS, F.col("n_latency_samples")).alias("_pct"),
-    ).select(
-        "*", *[percentile_value(F.col("_pct")[i]).alias(name) for i, name in enumerate(PERCENTILES)]
-    ).drop("_pct")
+    return with_percentiles(sums, day, ["metric_date"], "latency_ms", LATENCY_PERCENTILES)
 
 
 def calendar(conversations: DataFrame, requests: DataFrame) -> DataFrame:
@@ -277,8 +296,6 @@ def int_intent_confusion(predictions: DataFrame) -> DataFrame:
     Pair counts and the row totals come from one aggregate plus a window sum
     over the (tiny) aggregated pairs - no self-join of the predictions.
     """
-    from pyspark.sql import Window
-
     reviewed = predictions.where(F.col("is_human_reviewed"))
     pairs = reviewed.groupBy(
         F.col("human_corrected_intent").alias("actual_intent"), "predicted_intent"

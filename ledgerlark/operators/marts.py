@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.exprs import count_where, days_between, full_day_name, ratio, sum_where, week_start
-from ledgerlark.operators.intermediate import PERCENTILE_POINTS, percentile_value
+from ledgerlark.operators.intermediate import LATENCY_PERCENTILES
+from ledgerlark.operators.percentiles import Percentile, with_percentiles
 
 DOUBLE_AVG_SCALE = 6
 
@@ -331,14 +332,13 @@ def mart_intent_quality(fct_conv: DataFrame, dim_intent: DataFrame) -> DataFrame
 def mart_model_reliability_daily(requests: DataFrame) -> DataFrame:
     """M21 - reliability per (day, provider, model, tier); percentiles skip NULL latency.
 
-    Counted per latency value first (hash aggregate, combined map-side), then per
-    group with the counts as percentile frequencies: exact, and no task holds the
-    requests of a group.
+    One hash aggregate of the additive measures; the percentiles are ranks selected
+    apart from them, so no measure travels per latency value.
     """
     c = F.col
     st, et, lat = c("status"), c("error_type"), c("latency_ms")
     keys = ["request_date", "model_provider", "model_name", "model_tier"]
-    values = requests.groupBy(*keys, "latency_ms").agg(
+    sums = requests.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_requests"),
         count_where(c("is_failed")).alias("n_failed_requests"),
         count_where(st == "error").alias("n_error_requests"),
@@ -349,30 +349,19 @@ def mart_model_reliability_daily(requests: DataFrame) -> DataFrame:
         count_where(et == "context_length").alias("n_context_length"),
         count_where(et == "invalid_request").alias("n_invalid_request"),
         F.count(lat).alias("n_latency_samples"),
-        count_where(c("is_success") & lat.isNotNull()).alias("_n_success"),
         F.sum(lat).alias("_latency_sum"),
         sum_where(c("is_success"), "completion_tokens").alias("_tokens"),
         count_where(c("is_success") & c("completion_tokens").isNotNull()).alias("_n_tokens"),
         F.sum("cost_usd").alias("total_cost_usd"),
         count_where(c("has_invalid_latency")).alias("n_invalid_latency_rows"),
     )
-    additive = [x for x in values.columns if x not in keys and x != "latency_ms"]
-    g = values.groupBy(*keys).agg(
-        *[F.sum(x).alias(x) for x in additive],
-        F.percentile(lat, PERCENTILE_POINTS, c("n_latency_samples")).alias("_p"),
-        F.percentile(lat, F.lit(0.95), c("_n_success")).alias("p95_success_latency_ms"),
-    ).withColumns({
-        "error_rate": ratio("n_failed_requests", "n_requests"),
-        "timeout_rate": ratio("n_timeout_requests", "n_requests"),
-        "avg_latency_ms": ratio("_latency_sum", "n_latency_samples"),
-        "avg_completion_tokens": ratio("_tokens", "_n_tokens"),
-    })
+    g = with_percentiles(sums, requests, keys, "latency_ms", [*LATENCY_PERCENTILES, Percentile("p95_success_latency_ms", 0.95, "is_success")])
     return g.select(
         "request_date", "model_provider", "model_name", "model_tier", "n_requests", "n_failed_requests",
         "n_error_requests", "n_timeout_requests", "n_rate_limited_requests", "n_provider_5xx",
-        "n_content_filter", "n_context_length", "n_invalid_request", "error_rate", "timeout_rate",
-        "n_latency_samples", "avg_latency_ms",
-        percentile_value(c("_p")[0]).alias("p50_latency_ms"), percentile_value(c("_p")[1]).alias("p95_latency_ms"),
-        percentile_value(c("_p")[2]).alias("p99_latency_ms"),
-        percentile_value(c("p95_success_latency_ms")).alias("p95_success_latency_ms"), "avg_completion_tokens", "total_cost_usd", "n_invalid_latency_rows",
+        "n_content_filter", "n_context_length", "n_invalid_request",
+        ratio("n_failed_requests", "n_requests").alias("error_rate"), ratio("n_timeout_requests", "n_requests").alias("timeout_rate"),
+        "n_latency_samples", ratio("_latency_sum", "n_latency_samples").alias("avg_latency_ms"),
+        "p50_latency_ms", "p95_latency_ms", "p99_latency_ms", "p95_success_latency_ms",
+        ratio("_tokens", "_n_tokens").alias("avg_completion_tokens"), "total_cost_usd", "n_invalid_latency_rows",
     )

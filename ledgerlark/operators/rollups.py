@@ -14,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.intermediate import CONVERSATION_SIDE, PERCENTILE_POINTS, PERCENTILES, REQUEST_SIDE, percentile_value
+from ledgerlark.operators.intermediate import CONVERSATION_SIDE, LATENCY_PERCENTILES, PERCENTILES, REQUEST_SIDE
 from ledgerlark.operators.marts import daily_ratios
+from ledgerlark.operators.percentiles import with_percentiles
 
 ADDITIVE = [c for c in CONVERSATION_SIDE + REQUEST_SIDE if c != "n_active_users"]
 RATIOS = [
@@ -37,15 +38,13 @@ def rollup_kpis(daily: DataFrame, conversations: DataFrame, priced: DataFrame, u
         F.count(F.lit(1)).alias("n_days"), *[F.sum(c).alias(c) for c in ADDITIVE])
     users = conversations.groupBy(period_start("conversation_date", unit).alias("period_start")).agg(
         F.countDistinct("user_id").alias("n_active_users"))
-    values = priced.groupBy(period_start("request_date", unit).alias("period_start"), "latency_ms").agg(
-        F.count("latency_ms").alias("_n"))
-    pct = values.groupBy("period_start").agg(F.percentile("latency_ms", PERCENTILE_POINTS, F.col("_n")).alias("_p"))
-    j = comps.join(users, "period_start", "left").join(pct, "period_start", "left")
+    requests = priced.select(period_start("request_date", unit).alias("period_start"), "latency_ms")
+    j = with_percentiles(comps.join(users, "period_start", "left"), requests, ["period_start"], "latency_ms", LATENCY_PERCENTILES)
     r = daily_ratios(j)
     return j.select(
         "period_start", "n_days", *ADDITIVE,
         F.coalesce("n_active_users", F.lit(0)).alias("n_active_users"),
-        *[percentile_value(F.col("_p")[i]).alias(n) for i, n in enumerate(PERCENTILES)],
+        *PERCENTILES,
         *[r[x].alias(x) for x in RATIOS],
         r["cost_reconciliation_delta_usd"].alias("cost_reconciliation_delta_usd"),
     )

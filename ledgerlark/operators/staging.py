@@ -85,14 +85,14 @@ def _typed_requests(raw: DataFrame) -> DataFrame:
     )
 
 
-def dedupe_requests(typed: DataFrame) -> DataFrame:
-    """W01/W02 - keep the earliest-ingested copy of each request_id, count the copies.
-
-    Implemented as one hash-partitioned aggregate: ``min`` over a struct whose
-    leading fields are (ingested_at, created_at) picks the earliest copy, the
-    remaining fields make ties deterministic.  Unlike a ``row_number`` window,
-    the aggregate combines map-side, so a request_id replayed millions of times
-    never lands whole in a single task.
+def earliest_copies(typed: DataFrame) -> DataFrame:
+    """W01/W02 - the earliest-ingested copy of each request_id and the number of copies.
+
+    One aggregate: ``min`` over a struct whose leading fields are (ingested_at,
+    created_at) picks the earliest copy, the remaining fields make ties deterministic.
+    Unlike a ``row_number`` window it combines map-side, so a request_id replayed
+    millions of times never lands whole in a single task.  It sorts, though: for rows
+    of which few are copies see ``dedupe_requests``.
     """
     merged = "ingest_copies" in typed.columns       # already-deduplicated rows carry their copy count
     payload = [c for c in typed.columns if c not in ("request_id", "ingested_at", "created_at", "ingest_copies")]
@@ -116,9 +116,43 @@ def dedupe_requests(typed: DataFrame) -> DataFrame:
     )
 
 
-def stg_llm_requests(raw: DataFrame, aliases: DataFrame) -> DataFrame:
+def replayed_requests(requests: DataFrame) -> DataFrame:
+    """Hashes of the request_ids that occur more than once: a hash aggregate over eight bytes a row.
+
+    A few thousandths of all ids; two ids of one hash only make two singletons take the
+    ordered path of ``dedupe_requests``.
+    """
+    return (requests.groupBy(F.xxhash64("request_id").alias("request_hash")).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > 1).select("request_hash"))
+
+
+def dedupe_requests(typed: DataFrame, replayed: DataFrame | None = None) -> DataFrame:
+    """``earliest_copies`` at the price of a hash lookup for requests that came once.
+
+    Rows whose id hash is among ``replayed`` take the ordered aggregate; all others are
+    their own earliest copy.  With ``replayed`` written down (as a pipeline run does) its
+    size is known, and while it is small the singletons are not shuffled at all.
+    """
+    replayed = replayed_requests(typed) if replayed is None else replayed
+    keyed = typed.withColumn("request_hash", F.xxhash64("request_id"))
+    several = earliest_copies(keyed.join(replayed, "request_hash", "left_semi").drop("request_hash"))
+    single = keyed.join(replayed, "request_hash", "left_anti").drop("request_hash")
+    if "ingest_copies" not in typed.columns:
+        single = single.withColumn("ingest_copies", F.lit(1).cast("long"))
+    return single.select(*several.columns).unionByName(several)
+
+
+def stg_llm_requests(raw: DataFrame, aliases: DataFrame, replayed: DataFrame | None = None) -> DataFrame:
     """M03 - typed, deduplicated, alias-mapped, defect-flagged requests."""
-    return finish_requests(dedupe_requests(_typed_requests(raw)), aliases)
+    return finish_requests(dedupe_requests(_typed_requests(raw), replayed), aliases)
+
+
+def request_models(raw: DataFrame, aliases: DataFrame) -> DataFrame:
+    """The distinct model names of the request feed as staging maps them (all copies, so possibly more than M03 has)."""
+    names = raw.select(F.trim("model_name").alias("model_name_raw")).distinct()
+    a = F.broadcast(aliases.select("model_name_alias", "model_name_canonical"))  # fixed seed
+    return (names.join(a, names.model_name_raw == a.model_name_alias, "left")
+            .select(F.coalesce("model_name_canonical", "model_name_raw").alias("model_name")).distinct())
 
 
 def typed_requests(raw: DataFrame) -> DataFrame:

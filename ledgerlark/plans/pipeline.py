@@ -1,8 +1,8 @@
 """S06-S08, S11 - the pipeline run: seeds -> staging -> intermediate -> marts -> checks.
 
-Every layer is written once (Parquet, overwrite = full refresh, idempotent) into
-its own namespace folder and every downstream dataset is re-planned on the
-*written* table.  That is the lineage cut: a lost executor recomputes at most
+Every dataset that several written ones read, and every mart, is written once (Parquet,
+full refresh) into the run's own folder, by layer, and every downstream dataset is
+re-planned on the *written* table.  That is the lineage cut: a lost executor recomputes at most
 one layer, never the chain from the raw feeds, and each dataset with several
 consumers is computed exactly once.  Checks then read the written layers.
 
@@ -15,48 +15,16 @@ from __future__ import annotations
 import os
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.plans.warehouse import MART_NAMES, Warehouse
+from ledgerlark.plans.warehouse import Warehouse, layer_of, written_datasets
 from ledgerlark.session import checkpoint_dir
 
-# Datasets written by a run: name -> layer folder (S08 namespaces), in build order.
-# What is written is every dataset with several consumers (marts and checks) plus the
-# published marts; the others stay lazy views.  Staging datasets are written as such
-# and never projected from a joined table, so a join that repeats rows (a duplicate
-# hand-off, a duplicate price) cannot reach them.  The priced requests are a view: a
-# map-side join of the written requests with the price sheet.
-LAYERS: dict[str, str] = {
-    "stg_llm_requests": "staging",
-    "stg_conversations": "staging",
-    "stg_users": "staging",
-    "stg_intent_predictions": "staging",
-    "stg_escalations": "staging",
-    "conversation_facts": "intermediate",
-    "int_daily_product_metrics": "intermediate",
-    **{m: "marts" for m in MART_NAMES},
-}
-# Build waves: every dataset of a wave depends only on earlier waves, so the jobs of
-# one wave run concurrently (small marts would otherwise leave executors idle).
-WAVES: list[list[str]] = [
-    ["stg_llm_requests", "stg_conversations", "stg_users", "stg_intent_predictions", "stg_escalations"],
-    ["conversation_facts", "dim_models", "dim_intents", "fct_llm_requests", "fct_weekly_cohort_retention",
-     "fct_daily_model_costs", "mart_model_reliability_daily"],
-    ["int_daily_product_metrics", "dim_users", "fct_conversations"],
-    ["fct_daily_product_metrics", "mart_intent_quality"],
-    ["mart_daily_anomalies"],
-]
-assert sorted(n for w in WAVES for n in w) == sorted(LAYERS)
 CONCURRENT_JOBS = int(os.environ.get("LEDGERLARK_CONCURRENT_JOBS", "8"))
-# Views re-planned as projections of a written dataset of the same rows, so the joins
-# behind them run once: the quality columns ride in the conversation facts.
-PROJECTED_VIEWS: dict[str, str] = {
-    "int_conversation_quality": "conversation_facts",
-}
 # marts partitioned by date on write (partition pruning for date-range readers).  The
 # rows are rebalanced on the date: AQE merges small days and splits a large one into
 # several tasks by its size.
@@ -74,11 +42,18 @@ DOMAIN_BOUNDED = {
 
 @dataclass
 class PipelineRun:
+    """One run: ``root`` is the warehouse folder, ``folder`` this run's version below it."""
+
     root: str
+    run_id: str = field(default_factory=lambda: f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}")
     timings: dict[str, float] = field(default_factory=dict)
 
+    @property
+    def folder(self) -> str:
+        return f"{self.root}/runs/{self.run_id}"
+
     def path(self, name: str) -> str:
-        return f"{self.root}/{LAYERS[name]}/{name}"
+        return f"{self.folder}/{layer_of(name)}/{name}"
 
 
 def _write(df: DataFrame, name: str, path: str) -> float:
@@ -103,31 +78,35 @@ def in_own_pool(spark, name: str, fn, *args):
 
 
 def materialize(wh: Warehouse, root: str | None = None, names: list[str] | None = None,
-                concurrent_jobs: int = CONCURRENT_JOBS) -> PipelineRun:
-    """Write the requested datasets (default: all layers) wave by wave and rewire ``wh`` onto them.
+                concurrent_jobs: int = CONCURRENT_JOBS, publish: bool = True) -> PipelineRun:
+    """Write what the DAG shares and the marts (or those of ``names``) and rewire ``wh`` onto them.
 
-    Plans of one wave are built in the calling thread (after the previous wave
-    was rewired), then their write jobs run concurrently.
+    A dataset is written once all written datasets it reads are there: its plan is built
+    in the calling thread, its job runs beside the others that are ready.  The files go to a
+    folder of this run; ``publish`` makes it the version that readers see.
     """
     if root is None:
         root = f"{checkpoint_dir(wh.spark)}/ledgerlark-{uuid.uuid4().hex[:12]}"
     run = PipelineRun(root)
     wh.forget_plans()
-    wanted = set(names or LAYERS)
+    waiting = written_datasets()
+    if names:
+        waiting = {n: {d for d in needs if d in names} for n, needs in waiting.items() if n in names}
+    running: dict = {}
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
-        for wave in WAVES:
-            todo = [n for n in wave if n in wanted]
-            plans = {n: getattr(wh, n) for n in todo}
-            futures = {n: pool.submit(in_own_pool, wh.spark, n, _write, plans[n], n, run.path(n)) for n in todo}
-            for n in todo:
-                run.timings[n] = futures[n].result()
-            for n in todo:
-                read = read_mart(wh.spark, root, n) if LAYERS[n] == "marts" else wh.spark.read.parquet(run.path(n))
-                written = read.select(*plans[n].columns)
-                wh.__dict__[n] = written          # downstream datasets now plan on the written table
-                for view, source in PROJECTED_VIEWS.items():
-                    if source == n:
-                        wh.__dict__[view] = written.select(*getattr(wh, view).columns)
+        while waiting or running:
+            for n in [n for n, needs in waiting.items() if not needs]:
+                del waiting[n]
+                plan = getattr(wh, n)
+                running[pool.submit(in_own_pool, wh.spark, n, _write, plan, n, run.path(n))] = n, plan.columns
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                n, columns = running.pop(future)
+                run.timings[n] = future.result()
+                wh.__dict__[n] = wh.spark.read.parquet(run.path(n)).select(*columns)   # downstream plans read the written table
+                for needs in waiting.values():
+                    needs.discard(n)
+    if publish:
+        publish_run(wh.spark, run)
     return run
 
 
@@ -161,11 +140,76 @@ def run_pipeline(wh: Warehouse, root: str | None = None, with_checks: bool = Tru
     if not with_checks:
         return run, None
     t0 = time.time()
-    suite = write_check_suite(wh, f"{run.root}/audit/check_suite")
+    suite = write_check_suite(wh, f"{run.folder}/audit/check_suite")
     run.timings["check_suite"] = time.time() - t0
     return run, suite
 
 
+# Versions ------------------------------------------------------------------------
+POINTER = "CURRENT"
+
+
+def _file_context(spark, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def publish_run(spark, run: PipelineRun) -> None:
+    """Make a run the current version: one small file, replaced by one rename.
+
+    A reader sees the old version or the new one, whole; the old run's files stay until
+    ``expire_runs``.
+    """
+    jvm = spark._jvm
+    fc, pointer = _file_context(spark, f"{run.root}/{POINTER}")
+    draft = jvm.org.apache.hadoop.fs.Path(f"{run.root}/.{POINTER}-{uuid.uuid4().hex}")
+    out = fc.create(draft, jvm.java.util.EnumSet.of(jvm.org.apache.hadoop.fs.CreateFlag.CREATE),
+                    _java_array(spark, jvm.org.apache.hadoop.fs.Options.CreateOpts, jvm.org.apache.hadoop.fs.Options.CreateOpts.createParent()))
+    out.writeBytes(run.run_id)
+    out.close()
+    fc.rename(draft, pointer, _java_array(spark, jvm.org.apache.hadoop.fs.Options.Rename, jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE))
+
+
+def _java_array(spark, cls, *items):
+    out = spark.sparkContext._gateway.new_array(cls, len(items))
+    for i, item in enumerate(items):
+        out[i] = item
+    return out
+
+
+def current_run(spark, root: str) -> str:
+    """Id of the published run."""
+    fc, pointer = _file_context(spark, f"{root}/{POINTER}")
+    stream = fc.open(pointer)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def expire_runs(spark, root: str, keep: int = 2) -> list[str]:
+    """Delete all but the ``keep`` newest runs and the current one; returns what went.
+
+    Plans made on a version read its files until they end, so ``keep`` covers the longest reader.
+    """
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{root}/runs")
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    runs = sorted(f.getPath().getName() for f in fs.listStatus(base))
+    current = current_run(spark, root)
+    gone = [r for r in runs[:max(0, len(runs) - keep)] if r != current]
+    for r in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(base, r), True)
+    return gone
+
+
 def read_mart(spark, root: str, name: str) -> DataFrame:
-    """S09 - consumers read published marts only."""
-    return spark.read.parquet(f"{root}/marts/{name}")
+    """S09 - consumers read published marts only, all of the version current at the call."""
+    return read_marts(spark, root, name)[name]
+
+
+def read_marts(spark, root: str, *names: str) -> dict[str, DataFrame]:
+    """Several marts of one and the same version."""
+    run = current_run(spark, root)
+    return {n: spark.read.parquet(f"{root}/runs/{run}/marts/{n}") for n in names}

@@ -4,7 +4,8 @@
 dataset is a cached property holding a *lazy* DataFrame, so asking for one mart
 plans exactly the lineage it needs and Catalyst prunes every unused column back
 to the parquet scan.  ``plans.pipeline.materialize`` writes the datasets with
-several consumers and the marts and re-plans the others on the written tables.
+several consumers and the marts and re-plans the others on the written tables; which
+these are follows from the DAG itself (``written_datasets``).
 """
 
 from __future__ import annotations
@@ -22,6 +23,25 @@ from ledgerlark.sources import seeds
 from ledgerlark.sources.feeds import derive_feeds
 
 
+class dataset(cached_property):
+    """A node of the DAG.  ``projection``: rows and columns of another node, never worth writing;
+    ``sized``: written by a run although it has one consumer, whose join is planned by its size."""
+
+    projection = sized = False
+
+
+def projection(fn):
+    node = dataset(fn)
+    node.projection = True
+    return node
+
+
+def sized(fn):
+    node = dataset(fn)
+    node.sized = True
+    return node
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, feeds: dict[str, DataFrame], config: WarehouseConfig | None = None):
         self.spark = ensure_defaults(spark)
@@ -56,122 +76,130 @@ class Warehouse:
         return seeds.model_aliases(self.spark)
 
     # staging -------------------------------------------------------------
-    @cached_property
+    @dataset
     def stg_users(self) -> DataFrame:
         return S.stg_users(self.feeds["users"])
 
-    @cached_property
+    @dataset
     def stg_conversations(self) -> DataFrame:
         return S.stg_conversations(self.feeds["conversations"])
 
-    @cached_property
+    @sized
+    def request_replays(self) -> DataFrame:
+        """Hashes of the request_ids that came more than once."""
+        return S.replayed_requests(self.feeds["llm_requests"])
+
+    @sized
+    def request_models(self) -> DataFrame:
+        """The distinct model names of the requests."""
+        return S.request_models(self.feeds["llm_requests"], self.model_aliases)
+
+    @dataset
     def stg_llm_requests(self) -> DataFrame:
-        return S.stg_llm_requests(self.feeds["llm_requests"], self.model_aliases)
+        return S.stg_llm_requests(self.feeds["llm_requests"], self.model_aliases, self.request_replays)
 
-    @cached_property
+    @dataset
     def stg_intent_predictions(self) -> DataFrame:
         return S.stg_intent_predictions(self.feeds["intent_predictions"])
 
-    @cached_property
+    @dataset
     def stg_escalations(self) -> DataFrame:
         return S.stg_escalations(self.feeds["escalations"])
 
-    @cached_property
+    @dataset
     def stg_daily_model_prices(self) -> DataFrame:
         return S.stg_daily_model_prices(self.feeds["daily_model_prices"])
 
     # intermediate --------------------------------------------------------
-    @cached_property
+    @dataset
     def priced_requests(self) -> DataFrame:
         """Staging requests + price + recomputed cost: the request grain of every mart."""
         return I.int_model_costs(self.stg_llm_requests, self.stg_daily_model_prices)
 
-    @cached_property
+    @projection
     def model_day_requests(self) -> DataFrame:
         """The request columns of M18 and M21: no conversation column, hence no conversation join."""
         return M.requests_with_tier(self.priced_requests, self.model_catalog)
 
-    @cached_property
+    @projection
     def int_model_costs(self) -> DataFrame:
         return I.model_costs_view(self.priced_requests)
 
-    @cached_property
+    @dataset
     def int_conversation_request_rollup(self) -> DataFrame:
-        return I.int_conversation_request_rollup(self.priced_requests)
+        return I.int_conversation_request_rollup(self.priced_requests, self.request_models)
 
-    @cached_property
+    @dataset
     def int_conversation_quality(self) -> DataFrame:
         return I.int_conversation_quality(self.stg_conversations, self.stg_intent_predictions, self.stg_escalations)
 
-    @cached_property
+    @dataset
     def conversation_facts(self) -> DataFrame:
         return M.conversation_facts(
             self.stg_conversations, self.int_conversation_request_rollup, self.int_conversation_quality)
 
-    @cached_property
+    @dataset
     def int_daily_product_metrics(self) -> DataFrame:
         return I.int_daily_product_metrics(self.conversation_facts, self.priced_requests, self.stg_conversations)
 
-    @cached_property
+    @dataset
     def int_intent_confusion(self) -> DataFrame:
         return I.int_intent_confusion(self.stg_intent_predictions)
 
     # marts ---------------------------------------------------------------
-    @cached_property
+    @dataset
     def dim_users(self) -> DataFrame:
         return M.dim_users(self.stg_users, self.conversation_facts)
 
-    @cached_property
+    @dataset
     def dim_models(self) -> DataFrame:
         return M.dim_models(self.model_catalog, self.stg_daily_model_prices, self.priced_requests)
 
-    @cached_property
+    @dataset
     def dim_intents(self) -> DataFrame:
         return M.dim_intents(self.intent_catalog, self.stg_conversations)
 
-    @cached_property
+    @dataset
     def fct_conversations(self) -> DataFrame:
         return M.fct_conversations(self.conversation_facts, self.stg_users)
 
-    @cached_property
+    @dataset
     def fct_llm_requests(self) -> DataFrame:
         return M.fct_llm_requests(self.priced_requests, self.stg_conversations, self.model_catalog)
 
-    @cached_property
+    @dataset
     def fct_daily_product_metrics(self) -> DataFrame:
         return M.fct_daily_product_metrics(self.int_daily_product_metrics)
 
-    @cached_property
+    @dataset
     def fct_daily_model_costs(self) -> DataFrame:
         return M.fct_daily_model_costs(self.model_day_requests)
 
-    @cached_property
+    @dataset
     def mart_intent_quality(self) -> DataFrame:
         return M.mart_intent_quality(self.fct_conversations, self.dim_intents)
 
-    @cached_property
+    @dataset
     def mart_model_reliability_daily(self) -> DataFrame:
         return M.mart_model_reliability_daily(self.model_day_requests)
 
-    @cached_property
+    @dataset
     def fct_weekly_cohort_retention(self) -> DataFrame:
         from ledgerlark.operators.cohorts import weekly_cohort_retention
         return weekly_cohort_retention(self.stg_users, self.stg_conversations)
 
-    @cached_property
+    @dataset
     def mart_daily_anomalies(self) -> DataFrame:
         from ledgerlark.operators.anomalies import daily_anomalies
         return daily_anomalies(self.fct_daily_product_metrics, self.config.anomaly)
 
     def register_views(self, names: list[str] | None = None, prefix: str = "") -> list[str]:
         """S06 - expose datasets as temporary views for SQL users (still lazy plans)."""
-        from ledgerlark.plans.pipeline import LAYERS
-
         names = names or [
             "stg_users", "stg_conversations", "stg_llm_requests", "stg_intent_predictions", "stg_escalations",
             "stg_daily_model_prices", "int_model_costs", "int_conversation_request_rollup",
             "int_conversation_quality", "int_daily_product_metrics", "int_intent_confusion",
-            *[n for n, layer in LAYERS.items() if layer == "marts"],
+            *MART_NAMES,
         ]
         for n in names:
             getattr(self, n).createOrReplaceTempView(prefix + n)
@@ -207,3 +235,61 @@ MART_NAMES = (
     "mart_intent_quality", "mart_model_reliability_daily", "mart_daily_anomalies",
 )
 
+
+# The DAG ---------------------------------------------------------------------
+#: The consumer that stands for the check suite.
+CHECKS = "check_suite"
+
+
+def dependencies() -> dict[str, set[str]]:
+    """Datasets -> the datasets their definitions read, plus the check suite's; read off the definitions themselves."""
+    from ledgerlark.operators.checks import DECLARED
+    from ledgerlark.operators.invariants import sql_check_frames
+
+    nodes = {n: m for n, m in vars(Warehouse).items() if isinstance(m, dataset)}
+    deps = {n: set(m.func.__code__.co_names) & nodes.keys() for n, m in nodes.items()}
+    checked = {c.dataset for c in DECLARED} | {c.parent[0] for c in DECLARED if c.parent} | set(sql_check_frames.__code__.co_names)
+    return deps | {CHECKS: checked & nodes.keys()}
+
+
+def _consumers_first(deps: dict[str, set[str]]) -> list[str]:
+    order: list[str] = []
+    left = {n: set() for n in deps}
+    for n, reads in deps.items():
+        for d in reads:
+            left[d].add(n)
+    while left:
+        free = sorted(n for n, users in left.items() if not users - set(order))
+        order += free
+        for n in free:
+            del left[n]
+    return order
+
+
+def written_datasets(deps: dict[str, set[str]] | None = None, marts: tuple[str, ...] = ()) -> dict[str, set[str]]:
+    """What a run writes -> the written datasets it has to wait for.
+
+    Written are the marts, ``sized`` nodes, and every other dataset that two or more written
+    datasets (the check suite is one) read, directly or through views.
+    """
+    deps = dependencies() if deps is None else deps
+    marts = marts or MART_NAMES
+    nodes = vars(Warehouse)
+    readers: dict[str, set[str]] = {}   # the written datasets that read it
+    written = []
+    for n in _consumers_first(deps):
+        users = {r for c, reads in deps.items() if n in reads for r in ({c} if c in written or c == CHECKS else readers[c])}
+        readers[n] = users
+        node = nodes.get(n)
+        if n != CHECKS and (n in marts or getattr(node, "sized", False) or (len(users) > 1 and not getattr(node, "projection", False))):
+            written.append(n)
+
+    def needs(n: str) -> set[str]:
+        return {x for d in deps[n] for x in ({d} if d in written else needs(d))}
+
+    return {n: needs(n) for n in reversed(written)}
+
+
+def layer_of(name: str) -> str:
+    """S08 - the namespace of a written dataset."""
+    return "marts" if name in MART_NAMES else "staging" if name.startswith("stg_") else "intermediate"

@@ -19,13 +19,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.operators.staging import dedupe_requests, finish_requests, typed_requests
+from ledgerlark.operators.staging import dedupe_requests, earliest_copies, finish_requests, typed_requests
 from ledgerlark.sources.landing import CSV_OPTIONS, FEED_COLUMNS, text_schema
 
 
 def merge_batch(batch: DataFrame, state_path: str, batch_id: int) -> None:
     """Write one micro-batch of raw request rows as the folder of its id."""
-    new = dedupe_requests(typed_requests(batch))
+    new = earliest_copies(typed_requests(batch))
     new.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
 
 
