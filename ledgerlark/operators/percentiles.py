@@ -1,7 +1,6 @@
 """Exact percentiles per group by rank selection in two passes.
 
-Pass one counts the values of each group by bucket: about ``2**(MANTISSA - 1)`` buckets
-per doubling of the value, so a task sends at most some hundred narrow rows per group,
+Pass one counts the values of each group by bucket, ``BUCKETS`` per doubling of the value, so a task sends at most some hundred narrow rows per group,
 however many values it read.  Running counts over the buckets name those that hold a
 wanted rank.  Pass two reads the values again, keeps those in named buckets (a per cent
 or two) and counts them one by one; the running counts inside a bucket, on top of what
@@ -13,6 +12,7 @@ measures of the same groups are a separate aggregate, see ``with_percentiles``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
@@ -21,8 +21,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Leading bits of a value that make its bucket.
-MANTISSA = 7
+#: Buckets per doubling of the value.
+BUCKETS = 64
 PERCENTILE_SCALE = 6
 
 
@@ -45,15 +45,13 @@ def percentile_value(c):
 
 
 def bucket(v: Column) -> Column:
-    """Bucket of an integer: equal leading bits share one, and buckets ascend with the values.
+    """Bucket of an integer: the logarithm of its distance from zero, in steps, with its sign.
 
-    The bit length comes from a logarithm; where that is off by one next to a power of two, both lengths give
-    the same bucket.
+    Buckets ascend with the values, since each step of the formula does (``log1p`` is the strict one of the JVM).
+    ``v`` stands in it twice only: Catalyst copies it into join keys and filters with all that ``v`` is made of.
     """
-    size = F.when(v < 0, -1 - v).otherwise(v).cast("long")
-    drop = F.greatest(F.floor(F.log2(F.greatest(size, F.lit(1)))).cast("int") + F.lit(1 - MANTISSA), F.lit(0))
-    code = drop.cast("long") * F.lit(1 << (MANTISSA - 1)) + F.floor(size / F.pow(F.lit(2.0), drop)).cast("long")
-    return F.when(v < 0, -1 - code).otherwise(code)
+    distance = F.log1p(F.abs(v.cast("double")))
+    return (F.signum(v.cast("double")) * F.floor(distance * F.lit(BUCKETS / math.log(2)))).cast("int")
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -70,11 +68,13 @@ def exact_percentiles(rows: DataFrame, keys: Sequence[str], value: str, wanted:
     conditions = list(dict.fromkeys(p.where for p in wanted))
     n = {c: f"_n{i}" for i, c in enumerate(conditions)}          # values of a bucket under each condition
     before, total = ({c: f"_{what}{i}" for i, c in enumerate(conditions)} for what in ("before", "total"))
-    known = rows.where(F.col(value).isNotNull()).select(
+    # No filter on the value and no plain equality on its bucket: Catalyst would push their null tests, spelled out
+    # down to the raw columns, below every join that ``rows`` is made of.
+    known = rows.select(
         *keys, F.col(value).alias("_v"), bucket(F.col(value)).alias("_bucket"), *[F.col(c) for c in conditions if c])
 
     def counted(c: str | None) -> Column:
-        return (F.count_if(F.col(c)) if c else F.count(F.lit(1))).alias(n[c])
+        return (F.count_if(F.col(c) & F.col("_v").isNotNull()) if c else F.count("_v")).alias(n[c])
 
     def rank(p: Percentile, which: int) -> Column:
         """Rank of the lower (0) or upper (1) neighbour of the percentile among its values, from 0."""
@@ -95,7 +95,7 @@ def exact_percentiles(rows: DataFrame, keys: Sequence[str], value: str, wanted:
     named = placed.where(reduce(or_, [holds(p, i, F.col(before[p.where]), F.col(n[p.where])) for p in wanted for i in (0, 1)]))
     named = named.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_bucket").alias("_b"),
                          *[F.col(x) for c in conditions for x in (before[c], total[c])])
-    hit = known.join(F.broadcast(named), _same(known, named, keys) & (known["_bucket"] == named["_b"]))
+    hit = known.join(F.broadcast(named), _same(known, named, keys) & known["_bucket"].eqNullSafe(named["_b"]))
     values = hit.groupBy(*keys, "_bucket", *[x for c in conditions for x in (before[c], total[c])], "_v").agg(*[counted(c) for c in conditions])
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     start = {c: f"_start{i}" for i, c in enumerate(conditions)}
