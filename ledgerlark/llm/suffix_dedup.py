@@ -15,7 +15,8 @@ counts here, so neighbours in corpus order are brought together by hash, not by
    them, are grouped: the dictionary of distinct extended phrases with their number of occurrences and one place.
    One that occurs twice is repeated as a whole: all windows that start in it are settled.
 3. *Suffixes.*  What occurs once, and shares its tail with other dictionary entries, is
-   opened: the windows that start at each of its suffixes are compared with those of the entries
+   opened: its window starts are cut into cells at fixed distances before the trigger, and of cells whose common
+   bytes occur twice the windows that start at each suffix are compared with those of the entries
    of the same tail.  Only the edges of repeats get there, and each distinct entry is opened once.
 4. *Sparse text.*  Windows without a trigger in reach are compared one by one.
 5. A byte goes if a repeated window covers it.
@@ -43,6 +44,8 @@ from ledgerlark.llm.common import arrow_map, cut, discard, release_shuffles, tex
 from ledgerlark.llm.textnum import mix
 
 LENGTH, TRIGGER, MODULUS = 200, 12, 32
+#: Window starts of a cell, compared as one before its windows are.
+CELL = 8
 #: Window starts of a text that are hashed at once; bounds the eight-byte temporaries per byte.
 PIECE = 1 << 20
 _RNG = np.random.Generator(np.random.PCG64(77003))
@@ -251,34 +254,60 @@ def _runs(row: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.nda
     return start[head], np.add.reduceat(count, head) if len(head) else count, row[head]
 
 
-def _opened(length: int):
-    """Rows (text_hash, bits, text, asked) to the windows that start in each asked entry.
+def _asked_spans(batches, length: int):
+    """Rows (text_hash, bits, text, asked) to (text_hash, bits, start, stop, first byte hashed, Hashes), about a piece at a time.
 
-    Copies of one text come together; the first stands for all.
+    Copies of one text that come together are read once.
     """
+    seen = None
+    for batch in batches:
+        text_hash, bits = (batch.column(c).to_numpy() for c in ("text_hash", "bits"))
+        buf, offs = text_buffer(batch.column("text"))
+        for r in range(batch.num_rows):
+            if seen == (text_hash[r], bits[r]):
+                continue
+            seen = (text_hash[r], bits[r])
+            asked = np.sort(batch.column("asked")[r].values.to_numpy() & ((1 << 40) - 1))
+            start, stop = asked >> 8, (asked >> 8) + (asked & 255)
+            lo = 0
+            while lo < len(start):   # entries within one piece
+                hi = max(lo + 1, int(np.searchsorted(start, start[lo] + PIECE)))
+                base = int(start[lo])
+                h = Hashes(buf[offs[r] + base : min(offs[r + 1], offs[r] + int(stop[lo:hi].max()) + length - 1)])
+                yield text_hash[r], bits[r], start[lo:hi], stop[lo:hi], base, h
+                lo = hi
+
+
+def _cells(length: int):
+    """Asked entries to their cells: CELL window starts counted back from the trigger, with the bytes all of them share (the core)."""
+    schema = pa.schema([(c, pa.int64()) for c in ("core", "text_hash", "at")])
+
+    def run(batches):
+        for text_hash, bits, start, stop, base, h in _asked_spans(batches, length):
+            t = h.triggers() + base
+            t = t[np.searchsorted(t, start, "right")]   # the trigger that follows the entry
+            cell, of = _spread((t - stop) // CELL, (t - 1 - start) // CELL + 1)
+            high = t[of] - cell * CELL
+            low = high - CELL
+            a, b = np.maximum(start[of], low), np.minimum(stop[of], high)
+            yield pa.RecordBatch.from_arrays(
+                [_signed(h.of(high - 1 - base, low + length - base)), pa.array(np.full(len(a), text_hash)),
+                 pa.array(_pack(np.full(len(a), bits), a, b - a))], schema=schema)
+
+    return run
+
+
+def _opened(length: int):
+    """Asked runs to the windows that start in them."""
     schema = pa.schema([(c, pa.int64()) for c in ("first", "second", "text_hash", "at", "n")])
 
     def run(batches):
-        seen = None
-        for batch in batches:
-            text_hash, bits = (batch.column(c).to_numpy() for c in ("text_hash", "bits"))
-            buf, offs = text_buffer(batch.column("text"))
-            for r in range(batch.num_rows):
-                if seen == (text_hash[r], bits[r]):
-                    continue
-                seen = (text_hash[r], bits[r])
-                asked = np.sort(batch.column("asked")[r].values.to_numpy() & ((1 << 40) - 1))
-                start, stop = asked >> 8, (asked >> 8) + (asked & 255)
-                lo = 0
-                while lo < len(start):   # entries within one piece
-                    hi = max(lo + 1, int(np.searchsorted(start, start[lo] + PIECE)))
-                    base = int(start[lo])
-                    h = Hashes(buf[offs[r] + base : min(offs[r + 1], offs[r] + int(stop[lo:hi].max()) + length - 1)])
-                    at, _ = _spread(start[lo:hi] - base, stop[lo:hi] - base)
-                    yield pa.RecordBatch.from_arrays(
-                        [_signed(h.of(at, at + length)), _signed(h.second(at, at + length)), pa.array(np.full(len(at), text_hash[r])),
-                         pa.array(_pack(np.full(len(at), bits[r]), at + base, np.ones(len(at), np.int64))), pa.array(np.ones(len(at), np.int64))], schema=schema)
-                    lo = hi
+        for text_hash, bits, start, stop, base, h in _asked_spans(batches, length):
+            at, _ = _spread(start - base, stop - base)
+            one = np.ones(len(at), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [_signed(h.of(at, at + length)), _signed(h.second(at, at + length)), pa.array(np.full(len(at), text_hash)),
+                 pa.array(_pack(np.full(len(at), bits), at + base, one)), pa.array(one)], schema=schema)
 
     return run
 
@@ -379,8 +408,17 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     release_shuffles(spark)
 
     # Written in text order, where the text's columns take next to no space.
-    opened = cut(arrow_map(long_enough.join(asked, ["text_hash", "bits"]).select("text_hash", "bits", "text", "asked"), _opened(length),
-                           "first long, second long, text_hash long, at long, n long"), "opened")
+    def read(asked, fn, shape, label):
+        return cut(arrow_map(long_enough.join(asked, ["text_hash", "bits"]).select("text_hash", "bits", "text", "asked"), fn(length), shape), label)
+
+    cells = read(asked, _cells, "core long, text_hash long, at long", "cells")
+    discard(asked)
+    cores = cut(cells.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"), "cores")
+    asked = cut(cells.join(cores, "core", "left_semi").groupBy("text_hash", F.shiftrightunsigned("at", 40).alias("bits"))
+                .agg(F.collect_set("at").alias("asked")), "asked-cells")
+    discard(cells, cores)
+    release_shuffles(spark)
+    opened = read(asked, _opened, "first long, second long, text_hash long, at long, n long", "opened")
     discard(asked)
     release_shuffles(spark)
     windows = opened.unionByName(rest.where("kind = 1").drop("kind"))
