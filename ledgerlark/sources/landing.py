@@ -6,6 +6,10 @@ a row with too few or too many fields stops the load), stamps every row with the
 load time and writes the landed tables; ``read_feeds`` reads those.  The stamp is
 stored, so the age of a table is the age of its load, not of the query.
 
+A line is a row, so Spark splits a large file over many tasks; a line with an
+unbalanced quote stops the load and names its file.  Only a feed declared to hold
+line breaks inside quotes (``line_breaks``) is parsed one file a task.
+
 Every feed column is declared ``StringType`` - types are assigned in staging.
 """
 
@@ -41,21 +45,38 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 #: Strict CSV: the header is checked, quotes are doubled inside quotes, blanks are kept, bad rows stop the read.
 CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "quote": '"', "escape": '"', "mode": "FAILFAST",
-               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "multiLine": "true", "columnPruning": "false"}
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "multiLine": "false", "columnPruning": "false"}
+
+
+def _lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """(value, file, odd) of every line; odd: with an odd number of quotes, so it cannot be a whole row."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file"), (quotes % 2 == 1).alias("odd"))
+
 
+def unbalanced_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """(value, file) of the lines with an unbalanced quote."""
+    return _lines(spark, *paths).where("odd").select("value", "file")
 
-def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+
+def read_csv(spark: SparkSession, path: str, columns: list[str], line_breaks: bool = False) -> DataFrame:
     """All-text CSV with a checked header.
 
     Column pruning is off for the parser to see whole rows: a row with too few or
     too many fields stops the read even if a query needs none of its columns.
+    The line check is part of the plan (a branch that yields no row), so it runs with
+    the same job as the read.  ``line_breaks``: quoted fields may span lines.
     """
-    return spark.read.schema(text_schema(columns)).options(**CSV_OPTIONS).csv(path)
+    rows = spark.read.schema(text_schema(columns)).options(**CSV_OPTIONS).option("multiLine", line_breaks).csv(path)
+    if line_breaks:
+        return rows
+    stop = F.when(F.col("odd"), F.raise_error(F.concat(F.lit("unbalanced quote in "), F.col("file"))).cast("boolean")).otherwise(False)
+    return rows.unionByName(_lines(spark, path).where(stop).select(*[F.col("value").alias(c) for c in columns]))
 
 
-def read_landing(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, name: str, line_breaks: bool = False) -> DataFrame:
     """S01 - one CSV extract, every column text."""
-    return read_csv(spark, path, FEED_COLUMNS[name])
+    return read_csv(spark, path, FEED_COLUMNS[name], line_breaks)
 
 
 def write_feeds(feeds: dict[str, DataFrame], root: str) -> None:
@@ -69,11 +90,14 @@ def write_csv(df: DataFrame, path: str) -> None:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def land_feeds(spark: SparkSession, extracts: str, root: str, loaded_at: str | None = None) -> None:
-    """S01/S02 - load the six extracts into landed tables stamped with the load time (full refresh)."""
+def land_feeds(spark: SparkSession, extracts: str, root: str, loaded_at: str | None = None, line_breaks: tuple[str, ...] = ()) -> None:
+    """S01/S02 - load the six extracts into landed tables stamped with the load time (full refresh).
+
+    ``line_breaks``: the feeds whose quoted fields may hold line breaks.
+    """
     stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
     for name in FEED_COLUMNS:
-        df = read_landing(spark, f"{extracts}/{name}", name).withColumn("_loaded_at", stamp)
+        df = read_landing(spark, f"{extracts}/{name}", name, name in line_breaks).withColumn("_loaded_at", stamp)
         df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 

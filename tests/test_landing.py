@@ -21,7 +21,7 @@ HEADER = ",".join(FEED_COLUMNS["users"])
 
 def test_quotes_blanks_and_breaks_survive(spark, tmp_path):
     path = write(tmp_path, HEADER, 'u1,2024-01-01,"a ""q"", b", premium ,x', 'u2,2024-01-01,"two\nlines",,y')
-    rows = read_landing(spark, path, "users").orderBy("user_id").collect()
+    rows = read_landing(spark, path, "users", line_breaks=True).orderBy("user_id").collect()
     assert tuple(rows[0]) == ("u1", "2024-01-01", 'a "q", b', " premium ", "x")
     assert rows[1].country == "two\nlines" and rows[1].segment is None
 
@@ -36,6 +36,39 @@ def test_malformed_files_stop_the_load(spark, tmp_path, lines):
         read_landing(spark, write(tmp_path, *lines), "users").select("user_id").distinct().collect()
 
 
+@pytest.mark.parametrize("last", ['u2,2024-01-01,"two\nlines",,y', 'u2,2024-01-01,fr,x,"y', 'u2,2024-01-01,fr,x,y"'])
+def test_unbalanced_quotes_stop_the_load_with_their_file(spark, tmp_path, last):
+    path = write(tmp_path, HEADER, 'u1,2024-01-01,"a ""q"", b", premium ,x', last)
+    rows = read_landing(spark, path, "users")
+    for job in (rows.count, lambda: rows.select("user_id").distinct().collect(), lambda: rows.write.parquet(str(tmp_path / "out"))):
+        with pytest.raises(Exception, match="unbalanced quote in .*a.csv|MALFORMED"):
+            job()
+
+
+def test_a_large_file_is_read_by_several_tasks(spark, tmp_path):
+    path = write(tmp_path, HEADER, *[f'u{i},2024-01-01,"a ""q"", {i}", premium ,{"x" * 60}' for i in range(20_000)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        rows = read_landing(spark, path, "users")
+        used = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        assert len(used) >= 5 and sum(r.n for r in used) == 20_000
+        assert rows.where("country <> concat('a \"q\", ', substr(user_id, 2))").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_declared_line_breaks_round_trip(spark, tmp_path):
+    feeds = derive_feeds(spark, "/root/testdata/sf0.001")
+    feeds["users"] = feeds["users"].withColumn("country", F.concat(F.lit("two\nlines, "), F.col("country")))
+    write_feeds(feeds, str(tmp_path / "extracts"))
+    with pytest.raises(Exception):
+        land_feeds(spark, str(tmp_path / "extracts"), str(tmp_path / "no"))
+    land_feeds(spark, str(tmp_path / "extracts"), str(tmp_path / "tables"), line_breaks=("users",))
+    landed = read_feeds(spark, str(tmp_path / "tables"))["users"]
+    assert landed.where("country not like 'two%' and country is not null").count() == 0 and landed.count() == 150
+
+
 def test_landed_feeds_equal_their_source(spark, tmp_path):
     feeds = derive_feeds(spark, "/root/testdata/sf0.001")
     write_feeds(feeds, str(tmp_path / "extracts"))
