@@ -155,20 +155,38 @@ def _file_context(spark, path: str):
     return jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def replace_pointer(spark, path: str, text: str) -> None:
+    """Write a small file and put it in place of ``path`` by one rename."""
+    jvm = spark._jvm
+    fc, pointer = _file_context(spark, path)
+    folder, name = path.rsplit("/", 1)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}-{uuid.uuid4().hex}")
+    out = fc.create(draft, jvm.java.util.EnumSet.of(jvm.org.apache.hadoop.fs.CreateFlag.CREATE),
+                    _java_array(spark, jvm.org.apache.hadoop.fs.Options.CreateOpts, jvm.org.apache.hadoop.fs.Options.CreateOpts.createParent()))
+    out.writeBytes(text)
+    out.close()
+    fc.rename(draft, pointer, _java_array(spark, jvm.org.apache.hadoop.fs.Options.Rename, jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE))
+
+
+def read_pointer(spark, path: str) -> str | None:
+    """Content of a pointer file, None if there is none."""
+    fc, pointer = _file_context(spark, path)
+    if not fc.util().exists(pointer):
+        return None
+    stream = fc.open(pointer)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def publish_run(spark, run: PipelineRun) -> None:
     """Make a run the current version: one small file, replaced by one rename.
 
     A reader sees the old version or the new one, whole; the old run's files stay until
     ``expire_runs``.
     """
-    jvm = spark._jvm
-    fc, pointer = _file_context(spark, f"{run.root}/{POINTER}")
-    draft = jvm.org.apache.hadoop.fs.Path(f"{run.root}/.{POINTER}-{uuid.uuid4().hex}")
-    out = fc.create(draft, jvm.java.util.EnumSet.of(jvm.org.apache.hadoop.fs.CreateFlag.CREATE),
-                    _java_array(spark, jvm.org.apache.hadoop.fs.Options.CreateOpts, jvm.org.apache.hadoop.fs.Options.CreateOpts.createParent()))
-    out.writeBytes(run.run_id)
-    out.close()
-    fc.rename(draft, pointer, _java_array(spark, jvm.org.apache.hadoop.fs.Options.Rename, jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE))
+    replace_pointer(spark, f"{run.root}/{POINTER}", run.run_id)
 
 
 def _java_array(spark, cls, *items):
@@ -180,12 +198,10 @@ def _java_array(spark, cls, *items):
 
 def current_run(spark, root: str) -> str:
     """Id of the published run."""
-    fc, pointer = _file_context(spark, f"{root}/{POINTER}")
-    stream = fc.open(pointer)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+    run = read_pointer(spark, f"{root}/{POINTER}")
+    if run is None:
+        raise FileNotFoundError(f"no run is published below {root}")
+    return run
 
 
 def expire_runs(spark, root: str, keep: int = 2) -> list[str]:
