@@ -41,6 +41,8 @@ from ledgerlark.llm.common import arrow_map, columns_as, cut, scratch_path
 REVISIT_FROM = 1000
 ARCHIVE_BYTES = 32 << 20
 PIECE = 1 << 20
+#: Tasks of a pass over archives, at most; records of an archive that one task reads back.
+MOST_TASKS, READ_TOGETHER = 20_000, 1000
 _IDS = uuid.UUID("6f1d3f0a-5a0c-4f43-9b0e-8f2f6a5f7c11")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -202,7 +204,8 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 yield rewrite(fs, base, path)
 
-    one_each = files.select("path").repartition("path")
+    # An explicit number: the rows are short paths, which would be coalesced to a task by their own size.
+    one_each = files.select("path").repartition(max(1, min(files.count(), MOST_TASKS)))
     return cut(arrow_map(one_each, run, "path string, seq long, offset long, length long, record_type string, record_id string"), "index")
 
 
@@ -246,7 +249,9 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                 out.append((page and int(page), size, digest, f["warc-type"], to and int(to)))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], schema.field(c).type) for c in range(5)], schema=schema)
 
-    ranges = index.repartition("path", F.floor(F.col("seq") / 1000)).sortWithinPartitions("path", "offset").select("path", "offset", "length")
+    tasks = max(1, min(-(-index.count() // READ_TOGETHER), MOST_TASKS))
+    ranges = (index.repartition(tasks, "path", F.floor(F.col("seq") / READ_TOGETHER)).sortWithinPartitions("path", "offset")
+              .select("path", "offset", "length"))
     return arrow_map(ranges, run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
