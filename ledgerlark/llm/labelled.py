@@ -13,9 +13,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, most: int) ->
 
     The sample is the ``most`` labelled ids with the smallest hash.  Labels of a
     repeated doc_id are averaged (0.5 and more is 1); null labels and ids are left out.
-    The id list is bounded by ``most``, so it is broadcast and no text is shuffled.
+    Of rows that repeat an id the smallest text counts, so ``most`` bounds the rows too.
+    The id list is bounded by ``most``, so it is broadcast; texts are reduced to one
+    an id before they are shuffled.
     """
     ids = (columns_as(labels, "doc_id", target).where(f"doc_id is not null and `{target}` is not null")
            .groupBy("doc_id").agg((F.avg(target) >= 0.5).cast("int").alias("label"))
            .where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    return columns_as(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label")
+    rows = columns_as(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
