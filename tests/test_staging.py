@@ -72,3 +72,25 @@ def test_prediction_rules(spark):
     assert out["p1"].confidence_bucket == "0.90-1.00"
     assert out["p2"].is_corrected and out["p2"].confidence_bucket == "0.70-0.79"
     assert out["p3"].is_human_reviewed and not out["p3"].is_corrected and out["p3"].confidence_bucket == "<0.50"
+
+
+def test_staging_reads_written_request_rows_not_the_feed(spark, tmp_path):
+    """The feed is derived once: replays and staging come from the written typed rows, in a run and on their own."""
+    from ledgerlark.plans.pipeline import materialize
+    from ledgerlark.plans.registry import TYPED_REQUESTS
+    from ledgerlark.plans.warehouse import Warehouse, dependencies, written_datasets
+
+    rows = [("r1", "c1", "10", "2024-01-01 10:00:05"), ("r1", "c1", "10", "2024-01-01 10:00:09"), ("r2", "", None, "2024-01-01 10:00:05"),
+            ("r3", "c2", "-4", "2024-01-01 11:59:00"), ("r3", "c2", "-4", "2024-01-01 11:59:00"), (None, "c3", "7", None)]
+    feed = spark.createDataFrame(rows, "request_id string, conversation_id string, latency_ms string, _ingested_at string").selectExpr(
+        "*", "'2024-01-01 10:00:00' AS created_at", "' OpenAI' AS model_provider", "'gpt-4o-mini' AS model_name", "'5' AS prompt_tokens",
+        "'6' AS completion_tokens", "'11' AS total_tokens", "'0.000001' AS cost_usd", "'success' AS status", "'' AS error_type")
+    lazy = Warehouse(spark, {"llm_requests": feed}).stg_llm_requests
+    wh = Warehouse(spark, {"llm_requests": feed})
+    run = materialize(wh, str(tmp_path / "wh"), names=list(TYPED_REQUESTS))
+    staged = wh.stg_llm_requests
+    read = {f.split(run.folder)[1].split("/")[2] for f in staged.inputFiles()}
+    assert read == {"typed_requests", "request_replays"}
+    assert sorted(map(str, staged.collect())) == sorted(map(str, lazy.collect()))
+    assert {r.request_id: r.had_duplicate_ingest for r in staged.collect()} == {"r1": True, "r2": False, "r3": True, None: False}
+    assert dependencies()["request_replays"] == {"typed_requests"} and written_datasets()["request_replays"] == {"typed_requests"}
