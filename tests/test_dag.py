@@ -57,3 +57,19 @@ def test_ties_of_first_and_last_model_go_by_request_id(spark):
         "false AS has_model_alias", "false AS had_duplicate_ingest")
     r = int_conversation_request_rollup(priced).first()
     assert (r.first_model_name, r.last_model_name, r.n_distinct_models, r.n_requests) == ("z-model", "m-model", 3, 3)
+
+
+def test_a_query_on_written_layers_has_the_lineage_of_what_it_reads_written():
+    from ledgerlark.plans.registry import CHECK_KINDS, ON_WRITTEN_LAYERS
+    from ledgerlark.plans.warehouse import written_for
+
+    waits = written_datasets()
+    assert written_for(("raw_users", "intent_catalog")) == set()
+    assert written_for(("fct_weekly_cohort_retention",)) == {"stg_users", "stg_conversations", "fct_weekly_cohort_retention"}
+    assert written_for(("int_intent_confusion",)) == {"stg_intent_predictions"}
+    assert written_for(tuple(waits)) == set(waits)
+    assert {n for n, reads in ON_WRITTEN_LAYERS.items() if reads is None} == {"check_suite"}
+    for n, reads in ON_WRITTEN_LAYERS.items():
+        found = written_for(reads or tuple(waits))
+        assert set(reads or ()) & set(waits) <= found and all(waits[d] <= found for d in found)
+        assert n in CHECK_KINDS or reads is None or set(reads) <= set(MART_NAMES)

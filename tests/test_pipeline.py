@@ -102,3 +102,48 @@ def test_new_input_files_start_a_new_run(spark, tmp_path):
     assert again is not first and again.dim_users.count() == 100 < n
     registry.release_materialized(spark)
     assert not any(k[1] == str(src) for k in registry._MATERIALIZED)
+
+
+def _driver_tables(spark, root):
+    """Forty users, one order a user and day of ten, two requests an order."""
+    tables = {
+        "nation": spark.range(3).selectExpr("cast(id AS int) AS n_nationkey", "concat('N', id) AS n_name", "0 AS n_regionkey"),
+        "customer": spark.range(40).selectExpr(
+            "id + 1 AS c_custkey", "concat('c', id) AS c_name", "cast(id % 3 AS int) AS c_nationkey", "1.0D AS c_acctbal", "'BUILDING' AS c_mktsegment"),
+        "orders": spark.range(400).selectExpr(
+            "id + 1 AS o_orderkey", "id % 40 + 1 AS o_custkey", "'O' AS o_orderstatus", "9.0D AS o_totalprice",
+            "timestamp '1995-01-01 00:00:00' + make_interval(0, 0, 0, cast(id DIV 40 AS int)) AS o_orderdate", "'1-URGENT' AS o_orderpriority"),
+        "lineitem": spark.range(800).selectExpr(
+            "id DIV 2 + 1 AS l_orderkey", "id * 7 % 50 + 1 AS l_partkey", "id * 3 % 11 + 1 AS l_suppkey", "cast(id % 2 + 1 AS int) AS l_linenumber",
+            "cast(id % 30 + 1 AS double) AS l_quantity", "cast(id % 900 + 10 AS double) AS l_extendedprice", "0.0D AS l_discount", "0.0D AS l_tax",
+            "'N' AS l_returnflag", "'O' AS l_linestatus", "timestamp '1995-02-01 00:00:00' AS l_shipdate"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{name}.parquet")
+
+
+def test_a_query_writes_its_own_lineage_and_the_next_goes_on_with_the_run(spark, tmp_path):
+    """A report of the cohorts writes no request; a check that reads more adds to the same run and rewrites nothing."""
+    import os
+
+    from ledgerlark.plans import registry, reports
+    from ledgerlark.plans.warehouse import written_for
+
+    src = str(tmp_path / "in")
+    _driver_tables(spark, src)
+    query, key = registry.spark_queries(), (spark.sparkContext.applicationId, src, ())
+    lazy = Warehouse.from_driver_tables(spark, src)
+    try:
+        grid = query["report_cohort_grid"](spark, src)
+        run = registry._MATERIALIZED[key][2]
+        assert set(run.tables) == {"stg_users", "stg_conversations", "fct_weekly_cohort_retention"}
+        expected = registry.publish(reports.cohort_grid(lazy.fct_weekly_cohort_retention))
+        assert grid.count() == expected.count() > 0 and grid.exceptAll(expected).count() == 0
+        files = {n: sorted(os.listdir(run.path(n))) for n in run.tables}
+        assert query["check_cohort_sizes"](spark, src).count() == 0
+        assert registry._MATERIALIZED[key][2] is run and set(run.tables) == written_for(("fct_weekly_cohort_retention", "dim_users"))
+        assert {n: sorted(os.listdir(run.path(n))) for n in files} == files
+        ledger = query["check_conversation_cost_ledger"](spark, src)
+        assert ledger.count() == 0 and run.tables["fct_llm_requests"].count() == lazy.fct_llm_requests.count() > 0
+    finally:
+        registry.release_materialized(spark)
