@@ -62,3 +62,17 @@ def test_checks_of_one_kind_are_written_dataset_by_dataset(spark, tmp_path):
     names = {c.dataset for c in checks} | {c.parent[0] for c in checks}
     assert _same(got, run_checks({n: wh.dataset(n) for n in names}, checks)) and got.count() == 3
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_requests_travel_to_their_conversations_without_derived_columns(spark):
+    from ledgerlark.operators.staging import BASE_COLUMNS
+
+    wh = Warehouse.from_driver_tables(spark, "/root/testdata/sf0.001")
+    left, todo = [], [wh.fct_llm_requests._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join" and "_right" in node.condition().toString():
+            out = node.left().output()
+            left.append({out.apply(i).name() for i in range(out.size())})
+    assert left == [{*BASE_COLUMNS, "_key"}]
