@@ -76,3 +76,23 @@ def test_requests_travel_to_their_conversations_without_derived_columns(spark):
             out = node.left().output()
             left.append({out.apply(i).name() for i in range(out.size())})
     assert left == [{*BASE_COLUMNS, "_key"}]
+
+
+def test_the_stream_keeps_only_live_folders_of_a_state_that_nobody_reads_yet(spark, tmp_path):
+    from ledgerlark.operators.staging import stg_llm_requests
+    from ledgerlark.sources import seeds
+    from ledgerlark.sources.feeds import derive_feeds
+    from ledgerlark.sources.landing import write_csv
+    from ledgerlark.streaming.incremental import live_folders, staged_requests, start_incremental_staging, write_replayed
+
+    raw = derive_feeds(spark, "/root/testdata/sf0.001")["llm_requests"].where("request_id < 'r_2'").cache()
+    raw = raw.unionByName(raw.limit(30)).cache()
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    write_csv(raw.repartition(3), landing, "gzip")
+    assert all(f.endswith((".csv.gz", ".crc", "_SUCCESS")) for f in os.listdir(landing))
+    q = start_incremental_staging(spark, landing, state, str(tmp_path / "ckpt"), max_files_per_trigger=1, attempts=2, expire=True)
+    q.awaitTermination(600)
+    live = {e["folder"] for e in live_folders(spark, state)}
+    assert len(live) == 3 and {f for f in os.listdir(state) if os.path.isdir(f"{state}/{f}")} == live
+    aliases, replayed = seeds.model_aliases(spark), write_replayed(spark, state, str(tmp_path / "replayed"))
+    assert _same(staged_requests(spark, state, aliases, replayed), stg_llm_requests(raw, aliases))
